@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from tideledger import config
 from tideledger.operators.ranking import ordered_position, weighted_cut
+from tideledger.operators.staging import staged
 
 # Bases that a target can carry, in the order in which they are summarised.
 MEASURED = ["weight", "volume_cbm", "qty", "value"]
@@ -220,58 +221,66 @@ def value_counts(targets: DataFrame) -> DataFrame:
     return per_warehouse.unionByName(overall)
 
 
-def charge_cutoffs(
-    charges: DataFrame, counts: DataFrame, targets: DataFrame, factor: int
-) -> DataFrame:
-    """Per charge: the fraction and, on a tie, the position up to which one unit is added."""
+def charge_parts(charges: DataFrame, counts: DataFrame, factor: int) -> DataFrame:
+    """Per charge and distinct basis value: how many targets, their floor and fraction."""
     constant = F.col("allocation_basis").isin(CONSTANT)
     measured = charges.where(~constant).join(counts, ["scope", "allocation_basis"])
     uniform = charges.where(constant).withColumns(
         {"basis_value": F.lit(1.0), "n": F.col("targets")}
     )
-    parts = (
+    return (
         measured.unionByName(uniform)
         .withColumns(_floor_and_rest(F.col("basis_value"), factor))
-        .withColumn("minus_rest", -F.col("rest"))
+        .select(
+            *CHARGE, "scope", "allocation_basis", "amount", "targets", "basis_value", "n",
+            "floor", "rest", (-F.col("rest")).alias("minus_rest"),
+        )
     )
-    short = (
-        parts.groupBy(*CHARGE, "scope", "allocation_basis", "amount", "targets", "total_basis")
+
+
+def charge_cutoffs(parts: DataFrame, targets: DataFrame, factor: int) -> DataFrame:
+    """Per charge: the fraction and, on a tie, the position up to which one unit is added."""
+    constant = F.col("allocation_basis").isin(CONSTANT)
+    missing = F.bround(F.col("amount") * F.lit(float(factor))) - F.col("floors")
+    wanted = (
+        parts.groupBy(*CHARGE, "amount", "targets")
         .agg(F.sum(F.col("floor") * F.col("n")).alias("floors"))
-        .withColumn(
-            "extra",
-            F.least(
-                (F.bround(F.col("amount") * F.lit(float(factor))) - F.col("floors")).cast("bigint"),
-                F.col("targets"),
-            ),
-        )
+        .withColumn("extra", F.least(missing.cast("bigint"), F.col("targets")))
         .where(F.col("extra") > 0)
+        .select(*CHARGE, "extra")
     )
-    wanted = short.select(*CHARGE, "extra")
-    at = weighted_cut(parts, CHARGE, "minus_rest", "n", wanted, "extra", "cut_rest", "before")
-    cut = at.select(
-        *CHARGE, (-F.col("cut_rest")).alias("cut_rest"),
-        (F.col("extra") - F.col("before")).alias("tied_extra"),
+    cut = staged(
+        weighted_cut(parts, CHARGE, "minus_rest", "n", wanted, "extra", "cut", "before").select(
+            *CHARGE,
+            (-F.col("cut")).alias("cut_rest"),
+            (F.col("extra") - F.col("before")).alias("tied_extra"),
+        ),
+        "charge-cuts",
     )
-
-    # A constant basis ties all targets, so the position is the count itself.
-    flat = cut.join(short.where(constant).select(*CHARGE), CHARGE).select(
-        *CHARGE, "cut_rest", F.col("tied_extra").alias("cut_position")
-    )
-    tied_values = (
-        parts.where(~constant)
-        .join(cut, CHARGE)
+    tied_values = staged(
+        parts.join(cut, CHARGE)
         .where(F.col("rest") == F.col("cut_rest"))
-        .select(*CHARGE, "scope", "allocation_basis", "basis_value")
-    )
-    spots = stacked_positions(targets)
-    tied = tied_values.join(spots, ["scope", "allocation_basis", "basis_value"]).withColumn(
-        "one", F.lit(1)
+        .select(
+            *CHARGE, "scope", "allocation_basis", "basis_value", "n", "cut_rest", "tied_extra"
+        ),
+        "charge-ties",
     )
-    uneven = weighted_cut(
-        tied, CHARGE, "spot", "one", cut.select(*CHARGE, "tied_extra"), "tied_extra",
-        "cut_position", "passed",
+    tied_targets = tied_values.groupBy(*CHARGE).agg(F.sum("n").alias("tied"))
+    # Where every tied target gets its unit, or a constant basis ties all of them, the position
+    # follows without looking at targets. Few fractions are equal for different basis values.
+    graded = tied_values.join(tied_targets, CHARGE)
+    settled = constant | (F.col("tied") == F.col("tied_extra"))
+    last = F.when(constant, F.col("tied_extra")).otherwise(F.lit(2**62))
+    direct = graded.where(settled).select(*CHARGE, "cut_rest", last.alias("cut_position"))
+    contested = graded.where(~settled)
+    rivals = contested.join(
+        stacked_positions(targets), ["scope", "allocation_basis", "basis_value"]
+    ).select(*CHARGE, "spot", F.lit(1).alias("one"))
+    limits = contested.select(*CHARGE, "tied_extra").distinct()
+    searched = weighted_cut(
+        rivals, CHARGE, "spot", "one", limits, "tied_extra", "cut_position", "passed"
     ).join(cut.select(*CHARGE, "cut_rest"), CHARGE)
-    return flat.unionByName(uneven.select(*CHARGE, "cut_rest", "cut_position"))
+    return direct.distinct().unionByName(searched.select(*CHARGE, "cut_rest", "cut_position"))
 
 
 def stacked_positions(targets: DataFrame) -> DataFrame:
@@ -301,12 +310,16 @@ def allocate_charges(
 ) -> DataFrame:
     """One row per charge and target shipment line, adding up to the rounded charge."""
     factor = 10**decimals
-    targets = numbered_targets(allocation_targets(shipment))
-    charges = scoped_charges(charge, exchange_rate, scope_totals(allocation_targets(shipment)))
-    charges = charges.where(F.col("allocation_basis").isNotNull())
+    targets = staged(numbered_targets(allocation_targets(shipment)), "allocation-targets")
+    charges = staged(
+        scoped_charges(charge, exchange_rate, scope_totals(targets)).where(
+            F.col("allocation_basis").isNotNull()
+        ),
+        "scoped-charges",
+    )
     placed = charges.where(F.col("scope").isNotNull())
-    counts = value_counts(allocation_targets(shipment))
-    cutoffs = charge_cutoffs(placed, counts, targets, factor)
+    parts = staged(charge_parts(placed, value_counts(targets), factor), "charge-parts")
+    cutoffs = staged(charge_cutoffs(parts, targets, factor), "charge-cutoffs")
     # Charges are few and shipments many. Each charge is repeated per slice so that, when it
     # is too big to broadcast, one warehouse's shipments still spread over many tasks.
     ready = (

@@ -7,6 +7,7 @@ receipt, settlement, exchange_rate, cost and charge: the Parquet order book or t
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import DataFrame
@@ -15,10 +16,19 @@ from tideledger.plans import allocation, constraint, coverage, pnl, reco, scm
 
 
 class Marts:
-    def __init__(self, facts, as_of_date: dt.date, closed: DataFrame | None = None, **limits):
+    def __init__(
+        self,
+        facts,
+        as_of_date: dt.date,
+        closed: DataFrame | None = None,
+        keep: Callable[[DataFrame, str], DataFrame] = lambda df, name: df,
+        **limits,
+    ):
+        """``keep`` is applied to marts that later marts read, to store them first."""
         self.facts = facts
         self.as_of_date = as_of_date
         self.closed = closed
+        self.keep = keep
         self.limits = limits
 
     # Supply chain
@@ -94,15 +104,18 @@ class Marts:
 
     @cached_property
     def mart_pnl_gross_margin(self) -> DataFrame:
-        return pnl.gross_margin(self.mart_pnl_revenue, self.mart_pnl_cogs)
+        margin = pnl.gross_margin(self.mart_pnl_revenue, self.mart_pnl_cogs)
+        return self.keep(margin, "mart_pnl_gross_margin")
 
     @cached_property
     def mart_pnl_variable_cost(self) -> DataFrame:
-        return pnl.variable_cost(self.mart_charge_allocated)
+        costs = pnl.variable_cost(self.mart_charge_allocated)
+        return self.keep(costs, "mart_pnl_variable_cost")
 
     @cached_property
     def mart_pnl_contribution(self) -> DataFrame:
-        return pnl.contribution(self.mart_pnl_gross_margin, self.mart_pnl_variable_cost)
+        left_over = pnl.contribution(self.mart_pnl_gross_margin, self.mart_pnl_variable_cost)
+        return self.keep(left_over, "mart_pnl_contribution")
 
     @cached_property
     def mart_pnl_operating_profit(self) -> DataFrame:

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tideledger.operators.staging import staged
 from tideledger.plans.marts import Marts
 from tideledger.session import tune
 from tideledger.sources.order_book import AS_OF_DATE, OrderBook
@@ -55,7 +56,7 @@ def marts(spark: SparkSession, folder: str) -> Marts:
     closed = (
         facts.exchange_rate.select("period").distinct().where(F.col("period") < CLOSED_BEFORE)
     )
-    return Marts(facts, AS_OF_DATE, closed, **LIMITS)
+    return Marts(facts, AS_OF_DATE, closed, keep=staged, **LIMITS)
 
 
 def _mart(attribute: str) -> Query:
