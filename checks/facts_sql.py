@@ -60,7 +60,8 @@ FACTS = {
                CASE p_partkey % 5 WHEN 0 THEN 'RM' WHEN 1 THEN 'PM' WHEN 2 THEN 'WIP'
                     WHEN 3 THEN 'FG' END AS item_type,
                CASE WHEN p_partkey % 10 = 3 THEN 45 END AS min_sellable_days,
-               CASE WHEN p_partkey % 7 <> 0 THEN p_partkey % 3 = 0 END AS qc_required_flag
+               CASE WHEN p_partkey % 7 <> 0 THEN p_partkey % 3 = 0 END AS qc_required_flag,
+               CAST(p_size * 0.5 AS DOUBLE) AS volume_cbm
         FROM part WHERE p_size < 50""",
     "dim_warehouse": """
         SELECT CAST(n_nationkey AS VARCHAR) AS warehouse_id, r_name AS warehouse_type,

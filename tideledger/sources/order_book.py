@@ -172,6 +172,7 @@ class OrderBook:
             _cycle(key, ["RM", "PM", "WIP", "FG", None]).alias("item_type"),
             F.when(key % 10 == 3, F.lit(45)).alias("min_sellable_days"),
             _none_when(key % 7 == 0, key % 3 == 0).alias("qc_required_flag"),
+            (F.col("p_size") * 0.5).cast("double").alias("volume_cbm"),
         )
 
     @cached_property
