@@ -510,4 +510,72 @@ MARTS = {
               CROSS JOIN (VALUES ('fx_rate'), ('revenue_settlement'), ('logistics_transport'),
                                  ('customs'), ('3pl_billing'), ('cost_structure')) d(domain)) g
         LEFT JOIN domain_rows USING (domain, period)""",
+    # ---- inputs of single operators and dashboards --------------------------------------
+    "raw_orders": """
+        SELECT 'OMS' AS source_system,
+               CASE WHEN (l_partkey + l_suppkey) % 101 <> 0 THEN CAST(l_orderkey AS VARCHAR) END
+                   AS channel_order_id,
+               CASE WHEN (l_partkey + l_suppkey) % 53 = 0 THEN 'L' ELSE '' END || l_linenumber
+                   AS line_no,
+               CASE WHEN (l_partkey + l_suppkey) % 67 = 0 THEN 'soon'
+                    ELSE CAST(order_date AS VARCHAR) END AS order_date,
+               c_mktsegment AS channel_store_id, CAST(l_partkey AS VARCHAR) AS item_id,
+               CASE WHEN (l_partkey + l_suppkey) % 31 = 0 THEN 'many'
+                    ELSE CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) END AS qty_ordered,
+               'orders_' || c_mktsegment || '.csv' AS file_name
+        FROM lines""",
+    "quality_results": """
+        SELECT file_name, c.check_name, c.severity, CASE c.check_name
+                 WHEN 'null_business_key_channel_order_id' THEN null_id
+                 WHEN 'duplicate_business_keys' THEN extra
+                 WHEN 'type_coercion_line_no' THEN bad_line
+                 WHEN 'type_coercion_qty_ordered' THEN bad_qty ELSE 0 END AS bad_rows
+        FROM (SELECT file_name, count(*) - count(channel_order_id) AS null_id,
+                     count(*) - count(DISTINCT (channel_order_id, line_no)) AS extra,
+                     count(*) FILTER (line_no LIKE 'L%') AS bad_line,
+                     count(*) FILTER (qty_ordered = 'many') AS bad_qty
+              FROM raw_orders GROUP BY file_name) f
+        CROSS JOIN (VALUES ('required_columns', 'CRITICAL'),
+            ('null_business_key_channel_order_id', 'CRITICAL'),
+            ('null_business_key_line_no', 'CRITICAL'), ('duplicate_business_keys', 'HIGH'),
+            ('type_coercion_source_system', 'HIGH'), ('type_coercion_channel_order_id', 'HIGH'),
+            ('type_coercion_line_no', 'HIGH'), ('type_coercion_order_date', 'HIGH'),
+            ('type_coercion_channel_store_id', 'HIGH'), ('type_coercion_item_id', 'HIGH'),
+            ('type_coercion_qty_ordered', 'HIGH')) c(check_name, severity)""",
+    "latest_cost": """
+        SELECT item_id, unit_cost_krw FROM unit_cost
+        QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY effective_from DESC) = 1""",
+    "turnover": """
+        SELECT item_id, avg_onhand, coalesce(shipped, 0) AS shipped_qty,
+               CASE WHEN avg_onhand > 0 THEN coalesce(shipped, 0) / avg_onhand END
+                   AS turnover_ratio
+        FROM (SELECT item_id, avg(onhand_qty) AS avg_onhand FROM lot_state GROUP BY ALL) o
+        LEFT JOIN (SELECT item_id, sum(qty_shipped) AS shipped FROM fact_shipment
+                   WHERE channel_order_id IS NOT NULL GROUP BY ALL) s USING (item_id)""",
+    "overstock_value": """
+        SELECT item_id, warehouse_id, overstock_qty, unit_cost_krw,
+               overstock_qty * unit_cost_krw AS overstock_value
+        FROM mart_overstock LEFT JOIN latest_cost USING (item_id) WHERE overstock_flag""",
+    "basis_totals": """
+        SELECT 'order_count' AS basis, CAST(count(DISTINCT channel_order_id) AS DOUBLE) AS q
+        FROM fact_order
+        UNION ALL SELECT 'line_count', CAST(count(*) AS DOUBLE) FROM fact_order
+        UNION ALL SELECT 'qty', sum(qty_shipped) FROM fact_shipment
+        UNION ALL SELECT 'weight', sum(weight) FROM fact_shipment
+        UNION ALL SELECT 'volume_cbm', sum(volume_cbm) FROM fact_shipment
+        UNION ALL SELECT 'value', sum(net_revenue_krw) FROM mart_pnl_revenue
+        UNION ALL SELECT 'revenue', sum(net_revenue_krw) FROM mart_pnl_revenue
+        UNION ALL SELECT 'onhand_qty_days',
+               sum(onhand_qty) / count(DISTINCT snapshot_date) * 30 FROM fact_inventory
+        UNION ALL SELECT 'onhand_cbm_days',
+               sum(onhand_qty * volume_cbm) / (SELECT count(DISTINCT snapshot_date)
+                                               FROM fact_inventory) * 30
+        FROM fact_inventory LEFT JOIN dim_item USING (item_id)""",
+    "scenario_costs": """
+        SELECT scenario, charge_type, cost_stage, unit_price, default_basis AS basis,
+               q AS basis_qty, unit_price * q AS estimate
+        FROM (SELECT currency AS scenario, charge_type, floor(min(amount) / 1000) AS unit_price
+              FROM fact_charge GROUP BY ALL) p
+        JOIN policy USING (charge_type) JOIN basis_totals ON default_basis = basis
+        WHERE unit_price > 0""",
 }

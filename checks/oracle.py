@@ -29,5 +29,9 @@ def with_ctes(sql: str) -> str:
         visit(name)
     if not ordered:
         return sql
+    own = sql.lstrip()
+    if own.startswith("WITH "):
+        ordered_sql = ",\n".join(f"{n} AS MATERIALIZED ({CTES[n]})" for n in ordered)
+        return "WITH " + ordered_sql + ",\n" + own[len("WITH "):]
     parts = [f"{name} AS MATERIALIZED ({CTES[name]})" for name in ordered]
     return "WITH " + ",\n".join(parts) + "\n" + sql

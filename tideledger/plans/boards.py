@@ -14,7 +14,10 @@ from tideledger.plans.constraint import open_lines
 from tideledger.plans.scm import sales_only, unit_costs
 
 TOP = 10
-ROWS = F.count(F.lit(1))
+
+
+def rows() -> Column:
+    return F.count(F.lit(1))
 
 
 def for_period(df: DataFrame, period: str | None) -> DataFrame:
@@ -22,7 +25,7 @@ def for_period(df: DataFrame, period: str | None) -> DataFrame:
     return df if period is None else df.where(F.col("period") == period)
 
 
-def _stack(*frames: DataFrame) -> DataFrame:
+def stack(*frames: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
@@ -48,7 +51,7 @@ def inventory_value(onhand: DataFrame, cost: DataFrame) -> DataFrame:
     }
     # Per item first: one row per item meets its cost.
     items = onhand.groupBy("item_id").agg(
-        *[F.sum(q).alias(q) for q in qty], ROWS.alias("lots")
+        *[F.sum(q).alias(q) for q in qty], rows().alias("lots")
     )
     known = F.col("unit_cost_krw").isNotNull()
     return items.join(_latest_cost(cost), "item_id", "left").agg(
@@ -84,7 +87,7 @@ def onhand_by_bucket(onhand: DataFrame) -> DataFrame:
 
 def po_kpis(open_po: DataFrame) -> DataFrame:
     return open_po.agg(
-        ROWS.alias("po_lines"),
+        rows().alias("po_lines"),
         F.sum("qty_open").alias("qty_open"),
         count_where(F.col("delay_days") > 0).alias("delayed"),
         F.avg("po_lead_days").alias("avg_lead_days"),
@@ -106,7 +109,7 @@ def lead_time_by_supplier(open_po: DataFrame) -> DataFrame:
     return (
         open_po.where(F.col("po_lead_days").isNotNull())
         .groupBy("supplier_id")
-        .agg(F.avg("po_lead_days").alias("avg_lead_days"), ROWS.alias("po_count"))
+        .agg(F.avg("po_lead_days").alias("avg_lead_days"), rows().alias("po_count"))
         .orderBy(F.desc("avg_lead_days"), "supplier_id")
     )
 
@@ -142,10 +145,10 @@ def backlog_totals(order: DataFrame, shipment: DataFrame) -> DataFrame:
 
 def matching_rates(order: DataFrame, shipment: DataFrame) -> DataFrame:
     """How many orders and lines have a shipment."""
-    lines = sales_only(order).groupBy("channel_order_id").agg(ROWS.alias("lines"))
-    shipped = sales_only(shipment).groupBy("channel_order_id").agg(ROWS.alias("shipped"))
+    lines = sales_only(order).groupBy("channel_order_id").agg(rows().alias("lines"))
+    shipped = sales_only(shipment).groupBy("channel_order_id").agg(rows().alias("shipped"))
     totals = lines.join(shipped, "channel_order_id", "left").agg(
-        ROWS.alias("total_orders"),
+        rows().alias("total_orders"),
         F.count("shipped").alias("matched_orders"),
         F.sum("lines").alias("total_lines"),
         F.coalesce(F.sum("shipped"), F.lit(0)).alias("matched_lines"),
@@ -207,7 +210,7 @@ def top_return_items(analysis: DataFrame, n: int = TOP) -> DataFrame:
 
 
 def flagged_count(mart: DataFrame, flag: str) -> DataFrame:
-    return mart.agg(ROWS.alias("items"), count_where(F.col(flag)).alias("flagged"))
+    return mart.agg(rows().alias("items"), count_where(F.col(flag)).alias("flagged"))
 
 
 def turnover(onhand: DataFrame, shipment: DataFrame) -> DataFrame:
@@ -256,7 +259,7 @@ def top_overstock(valued: DataFrame, n: int = TOP) -> DataFrame:
 
 def expiry_kpis(risk: DataFrame) -> DataFrame:
     return risk.agg(
-        ROWS.alias("lots"),
+        rows().alias("lots"),
         F.sum("onhand_qty").alias("onhand_qty"),
         F.sum("risk_value_krw").alias("risk_value_krw"),
         count_where(F.col("risk_value_krw").isNull()).alias("without_value"),
@@ -295,12 +298,12 @@ def signal_counts(signals: DataFrame) -> DataFrame:
     return signals.agg(
         count_where(severity == "CRITICAL").alias("critical"),
         count_where(severity == "HIGH").alias("high"),
-        ROWS.alias("signals"),
+        rows().alias("signals"),
     )
 
 
 def resolved_share(effect: DataFrame) -> DataFrame:
-    return effect.agg(count_where(F.col("resolved")).alias("resolved"), ROWS.alias("signals"))
+    return effect.agg(count_where(F.col("resolved")).alias("resolved"), rows().alias("signals"))
 
 
 def reco_summary(
@@ -314,7 +317,7 @@ def reco_summary(
 
     def area(name: str, df: DataFrame, issue: Column, **measures: Column) -> DataFrame:
         named = [c.alias(n) for n, c in measures.items()]
-        return df.agg(ROWS.alias("rows"), count_where(issue).alias("issues"), *named).select(
+        return df.agg(rows().alias("rows"), count_where(issue).alias("issues"), *named).select(
             F.lit(name).alias("area"), "*"
         )
 
@@ -326,7 +329,7 @@ def reco_summary(
         return df.withColumn("delta_ratio", share).drop(base)
 
     differs = F.col("delta") != 0
-    return _stack(
+    return stack(
         area("inventory_movement", movement, F.lower("severity").isin("warn", "high")),
         area("oms_vs_wms", oms_wms, differs, **gaps("delta"),
              mean_rate=F.avg("fulfillment_rate")),
@@ -381,8 +384,8 @@ def coverage_totals(df: DataFrame, amount: str, name: str) -> DataFrame:
     return df.agg(
         F.sum(F.when(actual, F.col(amount))).alias("known_sum"),
         F.sum(or_zero(amount)).alias("total_sum_min"),
-        ROWS.alias("total_count"),
-        (ROWS - count_where(actual)).alias("partial_count"),
+        rows().alias("total_count"),
+        (rows() - count_where(actual)).alias("partial_count"),
         count_where(actual).alias("actual_count"),
     ).select(F.lit(name).alias("mart"), "*")
 
@@ -432,8 +435,8 @@ def unit_costs_per_sale(
         F.sum("qty_shipped").alias("qty"),
         F.sum("weight").alias("weight"),
         F.sum("volume_cbm").alias("volume"),
-        F.try_divide(count_where(or_zero("weight") != 0), ROWS).alias("weight_coverage"),
-        F.try_divide(count_where(or_zero("volume_cbm") != 0), ROWS).alias("volume_coverage"),
+        F.try_divide(count_where(or_zero("weight") != 0), rows()).alias("weight_coverage"),
+        F.try_divide(count_where(or_zero("volume_cbm") != 0), rows()).alias("volume_coverage"),
     )
     # Both sides are global aggregates of one row each.
     both = totals.withColumn("one", F.lit(1)).join(volume.withColumn("one", F.lit(1)), "one")
@@ -472,7 +475,7 @@ def profitability(contribution: DataFrame, key: str) -> DataFrame:
 def best_and_worst(ranking: DataFrame, key: str, n: int = TOP) -> DataFrame:
     best = ranking.orderBy(F.desc("contribution_krw"), key).limit(n)
     worst = ranking.orderBy(F.asc("contribution_krw"), key).limit(n)
-    return _stack(
+    return stack(
         best.withColumn("side", F.lit("TOP")), worst.withColumn("side", F.lit("BOTTOM"))
     )
 
@@ -481,7 +484,7 @@ def coverage_counts(coverage: DataFrame) -> DataFrame:
     severity = F.col("severity")
     return coverage.agg(
         *[count_where(severity == s).alias(s.lower()) for s in ("OK", "WARN", "CRITICAL")],
-        ROWS.alias("cells"),
+        rows().alias("cells"),
     )
 
 
@@ -504,9 +507,9 @@ def fx_coverage(settlement: DataFrame, exchange_rate: DataFrame) -> DataFrame:
 def coverage_flags(marts: dict[str, DataFrame]) -> DataFrame:
     """Row counts by coverage flag for each profit-and-loss mart."""
     actual = F.col("coverage_flag") == "ACTUAL"
-    return _stack(
+    return stack(
         *[
-            df.agg(ROWS.alias("total"), count_where(actual).alias("actual")).select(
+            df.agg(rows().alias("total"), count_where(actual).alias("actual")).select(
                 F.lit(name).alias("mart"),
                 "total",
                 "actual",
@@ -542,7 +545,7 @@ def basis_totals(
     )
     orders = order.agg(
         F.count_distinct("channel_order_id").cast("double").alias("orders"),
-        ROWS.cast("double").alias("lines"),
+        rows().cast("double").alias("lines"),
     )
     shipped = shipment.agg(
         sum_or_zero("qty_shipped").alias("qty"),
@@ -551,19 +554,19 @@ def basis_totals(
     )
     earned = revenue.agg(sum_or_zero("net_revenue_krw").alias("net"))
 
-    def rows(df: DataFrame, **basis: Column) -> DataFrame:
-        entries = [
+    def entries(df: DataFrame, **basis: Column) -> DataFrame:
+        pairs = [
             F.struct(F.lit(b).alias("basis"), q.cast("double").alias("basis_qty"))
             for b, q in basis.items()
         ]
-        return df.select(F.explode(F.array(*entries)).alias("e")).select("e.*")
+        return df.select(F.explode(F.array(*pairs)).alias("e")).select("e.*")
 
     per_day = lambda c: F.coalesce(F.try_divide(c, F.col("days")), F.lit(0.0)) * 30
-    return _stack(
-        rows(orders, order_count=F.col("orders"), line_count=F.col("lines")),
-        rows(shipped, qty=F.col("qty"), weight=F.col("weight"), volume_cbm=F.col("volume")),
-        rows(earned, value=F.col("net"), revenue=F.col("net")),
-        rows(
+    return stack(
+        entries(orders, order_count=F.col("orders"), line_count=F.col("lines")),
+        entries(shipped, qty=F.col("qty"), weight=F.col("weight"), volume_cbm=F.col("volume")),
+        entries(earned, value=F.col("net"), revenue=F.col("net")),
+        entries(
             stock,
             onhand_qty_days=per_day(F.col("qty")),
             onhand_cbm_days=per_day(F.col("cbm")),
