@@ -1,4 +1,4 @@
-"""Join helpers for keys that are often NULL or uneven."""
+"""Join helpers: sides of a checked size, and keys that are often NULL."""
 
 from __future__ import annotations
 
@@ -6,6 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 NULL_SPREAD = 1024
+BROADCAST_ROWS = 100_000
+
+
+def is_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
+    """Whether a stored table has at most so many rows; reads no more than that."""
+    return df.limit(rows + 1).count() <= rows
 
 
 def left_join_sparse_key(

@@ -1,8 +1,8 @@
 """Row numbers and cut-offs for groups of any size.
 
-A plain ``row_number()`` sorts a whole group in one task. Here a position is the number of
-rows in earlier pieces, known from pre-aggregated counts, plus the row number inside a piece
-of bounded size.
+A plain ``row_number()`` sorts a whole group in one task, which is fine up to a known size.
+In larger groups a position is the number of rows in earlier pieces, known from pre-aggregated
+counts, plus the row number inside a piece of bounded size.
 """
 
 from __future__ import annotations
@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tideledger.operators.staging import staged
+
 SPLIT_ROWS = 1_000_000
 CUT_BINS = 1024
 
@@ -24,12 +26,36 @@ def ordered_position(
 ) -> DataFrame:
     """1-based position of each row within ``group``, ordered by ``steps`` then ``tail``.
 
+    Group sizes are counted first: groups of up to ``split_rows`` rows are numbered by a plain
+    window and only larger ones are cut into pieces. None of the columns may be NULL.
+    """
+    sizes = df.groupBy(*group).agg(F.count(F.lit(1)).alias("__size"))
+    hot = staged(sizes.where(F.col("__size") > split_rows).select(*group), "hot-groups")
+    small = F.row_number().over(Window.partitionBy(*group).orderBy(*steps, *tail)).cast("bigint")
+    if hot.isEmpty():
+        return df.withColumn(out, small)
+    cold = df.join(hot, group, "left_anti").withColumn(out, small)
+    large = pieced_position(
+        df.join(hot, group, "left_semi"), group, steps, tail, out, split_rows
+    )
+    return cold.unionByName(large.select(*cold.columns))
+
+
+def pieced_position(
+    df: DataFrame,
+    group: list[str],
+    steps: list[str],
+    tail: list[str],
+    out: str,
+    split_rows: int,
+) -> DataFrame:
+    """Position within groups of any size.
+
     ``steps`` are columns with a limited number of distinct values per parent; they are
     ordered by counting. Rows that agree on every step are ordered by ``tail``; where they are
     many they are cut into pieces at the tail values of about every ``split_rows``-th row,
     picked by a hash of the row, so the cut points depend on the data alone and are the same
-    in every attempt. Positions are exact wherever the cut points fall. None of the columns
-    may be NULL.
+    in every attempt. Positions are exact wherever the cut points fall.
     """
     prefix = group + steps
     tail_key = F.struct(*tail)

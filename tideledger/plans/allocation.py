@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tideledger import config
+from tideledger.operators.joins import is_small
 from tideledger.operators.ranking import ordered_position, weighted_cut
 from tideledger.operators.staging import staged
 
@@ -273,9 +274,14 @@ def charge_cutoffs(parts: DataFrame, targets: DataFrame, factor: int) -> DataFra
     last = F.when(constant, F.col("tied_extra")).otherwise(F.lit(2**62))
     direct = graded.where(settled).select(*CHARGE, "cut_rest", last.alias("cut_position"))
     contested = graded.where(~settled)
-    rivals = contested.join(
-        stacked_positions(targets), ["scope", "allocation_basis", "basis_value"]
-    ).select(*CHARGE, "spot", F.lit(1).alias("one"))
+    if is_small(tied_values):
+        contested = F.broadcast(contested)
+    rivals = staged(
+        contested.join(
+            stacked_positions(targets), ["scope", "allocation_basis", "basis_value"]
+        ).select(*CHARGE, "spot", F.lit(1).alias("one")),
+        "charge-rivals",
+    )
     limits = contested.select(*CHARGE, "tied_extra").distinct()
     searched = weighted_cut(
         rivals, CHARGE, "spot", "one", limits, "tied_extra", "cut_position", "passed"
@@ -306,7 +312,7 @@ def allocate_charges(
     exchange_rate: DataFrame,
     shipment: DataFrame,
     decimals: int = config.ALLOCATION_DECIMALS,
-    slices: int = SLICES,
+    slices: int | None = None,
 ) -> DataFrame:
     """One row per charge and target shipment line, adding up to the rounded charge."""
     factor = 10**decimals
@@ -320,22 +326,27 @@ def allocate_charges(
     placed = charges.where(F.col("scope").isNotNull())
     parts = staged(charge_parts(placed, value_counts(targets), factor), "charge-parts")
     cutoffs = staged(charge_cutoffs(parts, targets, factor), "charge-cutoffs")
-    # Charges are few and shipments many. Each charge is repeated per slice so that, when it
-    # is too big to broadcast, one warehouse's shipments still spread over many tasks.
+    # Charges are few and shipments many: as long as a count proves it, the charges are
+    # broadcast and no shipment moves. Otherwise each charge is repeated per slice, so that one
+    # warehouse's shipments, and a charge on all of them, spread over many tasks.
+    few = slices is None and is_small(placed)
+    slices = 1 if few else slices or SLICES
     ready = (
         placed.drop("warehouse_id", "channel_store_id")
         .join(cutoffs, CHARGE, "left")
         .withColumn("slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))))
     )
+    side = F.broadcast if few else (lambda df: df)
     sliced = targets.withColumn(
         "slice", F.pmod(F.xxhash64("shipment_id", "item_id", "lot_id"), F.lit(slices)).cast("int")
     )
-    local = ready.where(F.col("scope") != EVERYWHERE).join(
-        sliced.withColumn("scope", F.col("warehouse_id")).withColumn("spot", F.col("position")),
-        ["scope", "slice"],
+    local = (
+        sliced.withColumn("scope", F.col("warehouse_id"))
+        .withColumn("spot", F.col("position"))
+        .join(side(ready.where(F.col("scope") != EVERYWHERE)), ["scope", "slice"])
     )
-    wide = ready.where(F.col("scope") == EVERYWHERE).join(
-        sliced.withColumn("spot", F.col("overall_position")), "slice"
+    wide = sliced.withColumn("spot", F.col("overall_position")).join(
+        side(ready.where(F.col("scope") == EVERYWHERE)), "slice"
     )
     pairs = local.unionByName(wide).withColumn(
         "basis_value", _by_basis(lambda b: F.coalesce(F.col(b), F.lit(0.0)))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,6 +11,8 @@ from tideledger import config
 from tideledger.functions.columns import bucket_label, or_zero, pick, stable_id
 from tideledger.operators.ranking import ordered_position
 
+LAST_DAY = dt.date.max
+
 
 def lot_expiry(snapshot: DataFrame, item: DataFrame) -> DataFrame:
     """Snapshot lots with their item's type, QC need and minimum days left to be sellable."""
@@ -51,13 +55,14 @@ def fefo_rank(lots: DataFrame) -> DataFrame:
     Ties are ordered by lot, then snapshot day. The rank spans all snapshots of an item, so a
     group can be large; it is numbered by counting rather than by sorting the group.
     """
-    group = ["warehouse_id", "item_id"]
-    dated = lots.where(F.col("final_expiry_date").isNotNull())
-    undated = lots.where(F.col("final_expiry_date").isNull())
-    ranked = ordered_position(
-        dated, group, ["final_expiry_date"], ["lot_id", "snapshot_date"], "fefo_rank"
-    ).withColumn("fefo_rank", F.col("fefo_rank").cast("int"))
-    return ranked.unionByName(undated.withColumn("fefo_rank", F.lit(None).cast("int")))
+    expires = F.col("final_expiry_date")
+    # Undated lots sort behind all dates and so leave the other ranks alone.
+    placed = ordered_position(
+        lots.withColumn("__expires", F.coalesce(expires, F.lit(LAST_DAY))),
+        ["warehouse_id", "item_id"], ["__expires"], ["lot_id", "snapshot_date"], "fefo_rank",
+    )
+    rank = F.when(expires.isNotNull(), F.col("fefo_rank").cast("int"))
+    return placed.withColumn("fefo_rank", rank).drop("__expires")
 
 
 def expiry_bucket(lots: DataFrame, edges: list[int] = config.EXPIRY_BUCKETS) -> DataFrame:

@@ -100,7 +100,7 @@ class Marts:
     @cached_property
     def mart_pnl_cogs(self) -> DataFrame:
         f = self.facts
-        return pnl.cogs(f.shipment, f.returns, f.cost)
+        return self.keep(pnl.cogs(f.shipment, f.returns, f.cost), "mart_pnl_cogs")
 
     @cached_property
     def mart_pnl_gross_margin(self) -> DataFrame:

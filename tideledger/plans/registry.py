@@ -58,14 +58,23 @@ MART_QUERIES = {
 }
 
 
+_facts: dict[tuple[str, str], OrderBook] = {}
 _built: dict[tuple[str, str], Marts] = {}
 
 
+def stored_facts(spark: SparkSession, folder: str) -> OrderBook:
+    """The facts of a folder, stored on first use and shared by the queries of a session."""
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _facts:
+        _facts[key] = OrderBook(tune(spark), folder, keep=staged)
+    return _facts[key]
+
+
 def marts(spark: SparkSession, folder: str) -> Marts:
     """The marts of a folder. Queries of one session share the marts stored on the way."""
     key = (spark.sparkContext.applicationId, folder)
     if key not in _built:
-        facts = OrderBook(tune(spark), folder)
+        facts = stored_facts(spark, folder)
         closed = (
             facts.exchange_rate.select("period")
             .distinct()
@@ -75,6 +84,11 @@ def marts(spark: SparkSession, folder: str) -> Marts:
     return _built[key]
 
 
+def forget() -> None:
+    """Drop shared marts, so that the next query builds everything itself."""
+    _built.clear()
+
+
 def _mart(attribute: str) -> Query:
     return lambda spark, folder: getattr(marts(spark, folder), attribute)
 

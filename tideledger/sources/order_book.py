@@ -8,6 +8,7 @@ keeps every sum exact in any order of addition.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -44,11 +45,21 @@ def _none_when(condition: Column, value: Column) -> Column:
 
 
 class OrderBook:
-    """Lazy fact and dimension DataFrames over one directory of Parquet tables."""
-
-    def __init__(self, spark: SparkSession, folder: str):
+    """Lazy fact and dimension DataFrames over one directory of Parquet tables.
+
+    ``keep`` stores the three frames that cost a join or an aggregation of all lines, as a
+    warehouse would; the other facts are projections of them.
+    """
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        folder: str,
+        keep: Callable[[DataFrame, str], DataFrame] = lambda df, name: df,
+    ):
         self.spark = spark
         self.folder = folder
+        self.keep = keep
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
@@ -63,12 +74,14 @@ class OrderBook:
             "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
             "l_extendedprice", "l_discount", "l_returnflag", "l_linestatus",
         )
-        return (
+        joined = (
             lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
             .join(customer, F.col("o_custkey") == F.col("c_custkey"))
             .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
             .withColumn("order_date", F.to_date("o_orderdate"))
+            .drop("o_orderkey", "o_custkey", "o_orderdate", "c_custkey", "s_suppkey")
         )
+        return self.keep(joined, "order-lines")
 
     @cached_property
     def order(self) -> DataFrame:
@@ -150,7 +163,7 @@ class OrderBook:
         )
         expiry = F.date_add(F.lit(SNAPSHOT_DAYS[0]), ((part * 13 + supp * 7) % 500 - 40).cast("int"))
         moved = F.col("qty") + F.pmod(part * F.col("step"), F.lit(7))
-        return lots.select("*", F.explode(days).alias("d")).select("*", "d.*").select(
+        snapshots = lots.select("*", F.explode(days).alias("d")).select("*", "d.*").select(
             "snapshot_date",
             _text("s_nationkey").alias("warehouse_id"),
             _text(part).alias("item_id"),
@@ -162,6 +175,7 @@ class OrderBook:
             .otherwise((part + supp) % 17 == 0)
             .alias("hold_flag"),
         )
+        return self.keep(snapshots, "inventory-snapshots")
 
     @cached_property
     def item(self) -> DataFrame:
@@ -192,7 +206,7 @@ class OrderBook:
         grouped = self.lines.groupBy("l_orderkey", "l_partkey", "order_date").agg(
             F.min("l_suppkey").alias("supplier"), F.sum("l_quantity").alias("qty_ordered")
         )
-        return grouped.select(
+        orders = grouped.select(
             F.concat(F.lit("PO-"), _text("l_orderkey")).alias("po_id"),
             F.col("order_date").alias("po_date"),
             _text("supplier").alias("supplier_id"),
@@ -202,6 +216,7 @@ class OrderBook:
                 "eta_date"
             ),
         )
+        return self.keep(orders, "purchase-orders")
 
     @cached_property
     def receipt(self) -> DataFrame:
