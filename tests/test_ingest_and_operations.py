@@ -112,6 +112,13 @@ def test_inbox_is_loaded_once_and_later_files_win(box):
     assert wh.read("raw", "system_dq_report").where("NOT passed").count() > 0
 
 
+def test_a_quoted_field_may_hold_a_line_break(box):
+    wh, inbox = box
+    put(inbox, a=ORDERS.replace("SKU-001", '"SKU\n001"'))
+    assert status(ingest(wh, str(inbox), 1)) == {"a.csv": "success"}
+    assert set(rows(wh.order, "item_id")) == {("SKU\n001",), ("SKU-002",)}
+
+
 def test_an_upsert_moves_a_row_between_months(box):
     wh, inbox = box
     put(inbox, a=ORDERS)

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tideledger import config
+from tideledger.operators.staging import staged
 from tideledger.operators.upsert import newest_per_key
 from tideledger.plans import quality
 from tideledger.sources.headers import canonical_names, detect_table
@@ -22,14 +23,19 @@ FILE_LOG = "batch_id bigint, file_name string, file_hash string, table_name stri
 
 
 def list_files(spark: SparkSession, inbox: str) -> DataFrame:
-    """Path, name, content hash and header line of every CSV file in the inbox."""
+    """Path, name, content hash and header line of every CSV file in the inbox.
+
+    ``quoted`` tells whether the file holds a quote character at all: only then can a field
+    run over a line break, and only then must the file be read as a whole.
+    """
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.{csv,CSV}").load(inbox)
     header = F.substring_index(F.col("content").cast("string"), "\n", 1)
     return files.select(
         "path",
         F.element_at(F.split("path", "/"), -1).alias("file_name"),
         F.sha2("content", 256).alias("file_hash"),
-        F.regexp_replace(header, "\r|﻿", "").alias("header"),
+        F.regexp_replace(header, "\\r|\\ufeff", "").alias("header"),
+        (F.locate('"', F.col("content").cast("string")) > 0).alias("quoted"),
     )
 
 
@@ -39,11 +45,16 @@ def not_loaded(files: DataFrame, file_log: DataFrame) -> DataFrame:
     return files.join(loaded, "file_hash", "left_anti")
 
 
-def read_text_columns(spark: SparkSession, paths: list[str], columns: list[str]) -> DataFrame:
-    """CSV rows with every column as text, and the file they come from."""
+def read_text_columns(
+    spark: SparkSession, paths: list[str], columns: list[str], multi_line: bool = False
+) -> DataFrame:
+    """CSV rows with every column as text, and the file they come from.
+
+    Without ``multi_line`` Spark splits large files over many tasks.
+    """
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
     rows = spark.read.schema(schema).csv(
-        paths, header=True, encoding="UTF-8", enforceSchema=True, multiLine=True
+        paths, header=True, encoding="UTF-8", enforceSchema=True, multiLine=multi_line
     )
     return rows.select("*", F.element_at(F.split("_metadata.file_path", "/"), -1).alias("file_name"))
 
@@ -128,19 +139,20 @@ def ingest(warehouse, inbox: str, batch_id: int, dry_run: bool = False,
         except ValueError as e:
             record.update(status="error", error_msg=str(e))
             continue
-        groups.setdefault((record["table_name"], tuple(columns)), []).append((f, record))
+        layout = (record["table_name"], tuple(columns), f["quoted"])
+        groups.setdefault(layout, []).append((f, record))
 
     loads: dict[str, list[DataFrame]] = {}
-    for (table, columns), members in groups.items():
+    for (table, columns, quoted), members in groups.items():
         by_name = {f["file_name"]: record for f, record in members}
-        raw = read_text_columns(spark, [f["path"] for f, _ in members], list(columns))
+        raw = read_text_columns(spark, [f["path"] for f, _ in members], list(columns), quoted)
         named = raw.toDF(*canonical_names(list(columns), table), "file_name")
         rows = with_key_sentinel(named, table)
         sizes = {
             r["file_name"]: r["n"]
             for r in rows.groupBy("file_name").agg(F.count(F.lit(1)).alias("n")).collect()
         }
-        results = quality.check_files(rows, table)
+        results = staged(quality.check_files(rows, table), "quality-results")
         warehouse.append(
             "raw", "system_dq_report",
             results.select(F.lit(batch_id).cast("bigint").alias("batch_id"), "file_name",

@@ -1,0 +1 @@
+"""No streaming job is needed: the inbox is polled, and content hashes make reruns harmless."""
