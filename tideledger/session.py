@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -25,25 +24,27 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-_local_folders: dict[str, str] = {}
-
-
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors can reach.
+    """The folder of this application that all executors can reach.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only a local-mode session without
-    that setting gets a folder of its own.
+    The cluster names its place in ``spark.checkpoint.dir``. Where that is unset, the place is
+    below the warehouse, which every executor reaches as well. The folder goes when the
+    application ends.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
-        raise ValueError("spark.checkpoint.dir must name a folder every executor can reach")
-    if context.applicationId not in _local_folders:
-        _local_folders[context.applicationId] = tempfile.mkdtemp(prefix="run-")
-        context.setCheckpointDir(_local_folders[context.applicationId])
-    return _local_folders[context.applicationId]
+    base = spark.conf.get("spark.checkpoint.dir", None) or (
+        spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
+    )
+    folder = f"{base.rstrip('/')}/{spark.sparkContext.applicationId}"
+    if folder not in _owned:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        files.mkdirs(path)
+        files.deleteOnExit(path)
+        _owned.add(folder)
+    return folder
+
+
+_owned: set[str] = set()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
