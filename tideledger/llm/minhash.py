@@ -251,6 +251,8 @@ def near_duplicates(
         "block", F.pmod(F.xxhash64("class_key"), F.col("n_blocks")).cast("int")
     )
     wanted = sized.select(F.col("first_id").alias("doc_id")).distinct()
+    # One strategy at every size: the candidates grow with the input.
+    wanted = wanted.hint("merge")
     chosen = texts.join(wanted, texts["doc_id"].eqNullSafe(wanted["doc_id"]), "left_semi")
     sets = shingle_sets(chosen.where(F.length("text") > 0), width)
     filled = sets.join(members, "class_key").groupBy("class_key", "cluster", "n_blocks", "block")
