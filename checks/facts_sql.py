@@ -5,8 +5,8 @@ FACTS = {
         SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice,
                l_discount, l_returnflag, l_linestatus, c_mktsegment, c_nationkey, s_nationkey,
                CAST(o_orderdate AS DATE) AS order_date,
-               CAST(l_linenumber AS BIGINT) * 1000000000000 + l_partkey * 1000000 + l_suppkey
-                   AS line_no
+               row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey,
+                                  l_suppkey, l_quantity, l_extendedprice) AS line_no
         FROM lineitem
         JOIN orders ON l_orderkey = o_orderkey
         JOIN customer ON o_custkey = c_custkey

@@ -122,3 +122,20 @@ def test_basis_priority():
     assert config.basis_priority("PG_FEE") == ["revenue", "line_count"]
     with pytest.raises(KeyError):
         config.basis_priority("NO_SUCH_FEE")
+
+
+def test_shipments_without_warehouse_are_targets(spark):
+    shipped = spark.createDataFrame(
+        [(f"S{i}", day("2024-01-05"), w, "I", 1.0, "L", None, None, f"O{i}", "A")
+         for i, w in enumerate(["W1", None, None, "W2"])], SHIPMENT)
+    numbered = allocation.numbered_targets(allocation.allocation_targets(shipped)).collect()
+    assert sorted(r.overall_position for r in numbered) == [1, 2, 3, 4]
+
+
+def test_unknown_charge_types_are_reported(spark):
+    charges = spark.createDataFrame(
+        [("I1", 1, "NO_SUCH_TYPE", 10.0, "KRW", "2024-01", None, None)], CHARGE)
+    shipped = spark.createDataFrame(
+        [("S1", day("2024-01-05"), "W1", "I", 1.0, "L", None, None, "O1", "A")], SHIPMENT)
+    rates = spark.createDataFrame([], FX)
+    assert allocation.unallocated_charges(charges, rates, shipped).count() == 1

@@ -112,6 +112,14 @@ def test_inbox_is_loaded_once_and_later_files_win(box):
     assert wh.read("raw", "system_dq_report").where("NOT passed").count() > 0
 
 
+def test_file_names_with_encodable_characters(box):
+    wh, inbox = box
+    names = ["orders one", "a%20b", "a#1", "a+b", "주문"]
+    for i, name in enumerate(names):
+        put(inbox, **{name: ORDERS.replace("ORD-", f"ORD{i}-")})
+    assert status(ingest(wh, str(inbox), 1)) == {f"{n}.csv": "success" for n in names}
+
+
 def test_a_quoted_field_may_hold_a_line_break(box):
     wh, inbox = box
     put(inbox, a=ORDERS.replace("SKU-001", '"SKU\n001"'))

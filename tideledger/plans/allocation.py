@@ -90,9 +90,11 @@ def numbered_targets(targets: DataFrame) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("n"))
         .select("warehouse_id", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("start"))
     )
-    return placed.join(starts, "warehouse_id").withColumn(
+    # Shipments without a warehouse are targets too.
+    starts = starts.withColumnRenamed("warehouse_id", "__of")
+    return placed.join(starts, F.col("warehouse_id").eqNullSafe(F.col("__of"))).withColumn(
         "overall_position", F.col("start") + F.col("position")
-    ).drop("start")
+    ).drop("start", "__of")
 
 
 def scope_totals(targets: DataFrame) -> DataFrame:
@@ -148,7 +150,7 @@ def scoped_charges(
     scope = F.when(F.col("__known"), F.col("warehouse_id")).otherwise(F.lit(EVERYWHERE))
     return (
         charge.select(*CHARGE, "period", "currency", "amount", "warehouse_id", "channel_store_id")
-        .join(policy, "charge_type")
+        .join(policy, "charge_type", "left")
         .join(rates, ["period", "currency"], "left")
         .join(known, "warehouse_id", "left")
         .withColumns({"rate": rate, "__scope": scope})
@@ -171,7 +173,7 @@ def scoped_charges(
 def unallocated_charges(
     charge: DataFrame, exchange_rate: DataFrame, shipment: DataFrame
 ) -> DataFrame:
-    """Charges left out because no basis of their type can be measured."""
+    """Charges left out: no basis of their type can be measured, or the policy lacks the type."""
     totals = scope_totals(allocation_targets(shipment))
     return (
         scoped_charges(charge, exchange_rate, totals)

@@ -136,7 +136,7 @@ def upserted_orders(m: Marts) -> DataFrame:
     lines, order = m.facts.lines, m.facts.order
     changed = lines.where(F.col("l_returnflag") == "R").select(
         _text("l_orderkey").alias("channel_order_id"),
-        m.facts._line_no().alias("line_no"),
+        "line_no",
         "order_date",
         F.lit("CORRECTED").alias("channel_store_id"),
         _text("l_partkey").alias("item_id"),

@@ -56,7 +56,9 @@ def read_text_columns(
     rows = spark.read.schema(schema).csv(
         paths, header=True, encoding="UTF-8", enforceSchema=True, multiLine=multi_line
     )
-    return rows.select("*", F.element_at(F.split("_metadata.file_path", "/"), -1).alias("file_name"))
+    # The metadata path is URL-encoded (a plus sign is not), unlike the paths of the listing.
+    name = F.element_at(F.split("_metadata.file_path", "/"), -1)
+    return rows.select("*", F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B"))).alias("file_name"))
 
 
 def with_key_sentinel(rows: DataFrame, table: str) -> DataFrame:
@@ -152,6 +154,8 @@ def ingest(warehouse, inbox: str, batch_id: int, dry_run: bool = False,
             r["file_name"]: r["n"]
             for r in rows.groupBy("file_name").agg(F.count(F.lit(1)).alias("n")).collect()
         }
+        if strange := set(sizes) - set(by_name):
+            raise ValueError(f"rows of files that were not listed: {sorted(strange)}")
         results = staged(quality.check_files(rows, table), "quality-results")
         warehouse.append(
             "raw", "system_dq_report",
@@ -217,11 +221,12 @@ def _accepted(rows: DataFrame, table: str, good: dict[str, dict]) -> DataFrame:
 
 
 def closed_period_files(rows: DataFrame, table: str, warehouse) -> DataFrame:
-    """Files with at least one row dated in a closed period."""
+    """Files with at least one row of a closed period: by its date, or by the period it names."""
     event = config.CONTRACTS[table].event
-    month = F.substring(F.col(event), 1, 7) if event in rows.columns else F.lit(None)
+    months = [F.substring(F.col(c), 1, 7).cast("string")
+              for c in dict.fromkeys([event, "period"]) if c in rows.columns]
     return (
-        rows.select("file_name", month.cast("string").alias("period"))
+        rows.select("file_name", F.explode(F.array(F.lit(None).cast("string"), *months)).alias("period"))
         .distinct()
         .join(warehouse.closed_periods(), "period", "left_semi")
         .select("file_name")

@@ -11,7 +11,7 @@ import datetime as dt
 from collections.abc import Callable
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tideledger.functions.columns import month_key
@@ -76,9 +76,11 @@ class OrderBook:
         )
         joined = (
             lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-            .join(customer, F.col("o_custkey") == F.col("c_custkey"))
-            .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
+            # A line stays if its customer or supplier is missing.
+            .join(customer, F.col("o_custkey") == F.col("c_custkey"), "left")
+            .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"), "left")
             .withColumn("order_date", F.to_date("o_orderdate"))
+            .withColumn("line_no", self._line_no())
             .drop("o_orderkey", "o_custkey", "o_orderdate", "c_custkey", "s_suppkey")
         )
         return self.keep(joined, "order-lines")
@@ -87,7 +89,7 @@ class OrderBook:
     def order(self) -> DataFrame:
         return self.lines.select(
             _text("l_orderkey").alias("channel_order_id"),
-            self._line_no().alias("line_no"),
+            "line_no",
             "order_date",
             F.col("c_mktsegment").alias("channel_store_id"),
             _text("l_partkey").alias("item_id"),
@@ -97,12 +99,12 @@ class OrderBook:
 
     @staticmethod
     def _line_no() -> Column:
-        """Line number made unique: the source repeats numbers within an order."""
-        return (
-            F.col("l_linenumber").cast("bigint") * 1_000_000_000_000
-            + F.col("l_partkey") * 1_000_000
-            + F.col("l_suppkey")
+        """Line number made unique: the source repeats numbers within an order. An order's lines
+        are few, so its window is small."""
+        in_order = Window.partitionBy("l_orderkey").orderBy(
+            "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"
         )
+        return F.row_number().over(in_order).cast("bigint")
 
     @cached_property
     def shipped_lines(self) -> DataFrame:
@@ -248,7 +250,7 @@ class OrderBook:
         )
         return money.select(
             F.concat(F.lit("ST-"), _text("l_orderkey")).alias("settlement_id"),
-            self._line_no().alias("line_no"),
+            "line_no",
             month_key("order_date").alias("period"),
             F.col("c_mktsegment").alias("channel_store_id"),
             _cycle(F.col("c_nationkey"), ["KRW", "USD", "EUR"]).alias("currency"),
