@@ -163,7 +163,7 @@ def order_line_shares(m: Marts) -> DataFrame:
     """Order totals split over the order's lines by quantity, in whole units."""
     totals = m.facts.table("orders").select("o_orderkey", "o_totalprice")
     qty = m.facts.lines.groupBy("l_orderkey").agg(F.sum("l_quantity").alias("qty"))
-    lines = m.facts.lines.select("l_orderkey", m.facts._line_no().alias("line_no"), "l_quantity")
+    lines = m.facts.lines.select("l_orderkey", "line_no", "l_quantity")
     shares = (
         lines.join(qty, "l_orderkey")
         .join(totals, F.col("l_orderkey") == F.col("o_orderkey"))
