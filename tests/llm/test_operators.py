@@ -89,6 +89,15 @@ def test_components_of_a_path_and_a_star(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 30)] + [(7, 7), (None, 3)]
     got = components(spark.createDataFrame(edges, "a long, b long")).collect()
     assert {r.node: r.root for r in got} == {i: 0 for i in range(41)} | {100 + i: 100 for i in range(30)}
+    rng = random.Random(4)
+    edges = [(rng.randrange(900), rng.randrange(900)) for _ in range(420)]
+    got = components(spark.createDataFrame(edges, "a long, b long")).collect()
+    root = list(range(900))
+    for _ in range(900):
+        for a, b in edges:
+            root[a] = root[b] = min(root[a], root[b])
+    assert {r.node: r.root for r in got} == {n: root[n] for a, b in edges if a != b for n in (a, b)}
+    assert len(got) == len({r.node for r in got})
 
 
 def test_operators_on_odd_rows(spark):

@@ -11,8 +11,8 @@ from tideledger.operators.staging import staged
 def components(edges: DataFrame) -> DataFrame:
     """Smallest node reachable from each node of ``edges(a, b)``: columns node, root.
 
-    Alternates two steps until nothing changes: every node links its larger neighbours, then its
-    smaller ones, to the smallest node it knows. The number of rounds grows with the logarithm of
+    Alternates two steps until only stars are left: every node links its larger neighbours, then
+    its smaller ones, to the smallest node it knows. The number of rounds grows with the logarithm of
     the longest path. Each round is two grouped minima joined back to the edges (a side of unique
     keys, so a hub with many edges is split by the engine) and a written table, which cuts the
     lineage. An edge with a null end or from a node to itself links nothing.
@@ -23,8 +23,7 @@ def components(edges: DataFrame) -> DataFrame:
         .distinct(),
         "edges",
     )
-    before = None
-    while True:
+    while not all_stars(now):
         both = now.union(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m"))
         wide = (
@@ -44,12 +43,16 @@ def components(edges: DataFrame) -> DataFrame:
             .distinct(),
             "edges",
         )
-        seen = now.agg(
-            F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))
-        ).first()
-        if seen == before:
-            break
-        before = seen
     return now.select(F.col("a").alias("node"), F.col("b").alias("root")).union(
         now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
     )
+
+
+def all_stars(edges: DataFrame) -> bool:
+    """Whether each larger end ``a`` has one edge and is no other edge's smaller end ``b``."""
+    ends = edges.select(F.col("a").alias("n"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(
+        edges.select("b", F.lit(0), F.lit(1))
+    )
+    nodes = ends.groupBy("n").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    loose = nodes.where((F.col("up") > 1) | ((F.col("up") > 0) & (F.col("down") > 0)))
+    return loose.agg(F.count("*")).first()[0] == 0
