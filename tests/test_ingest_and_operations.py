@@ -120,6 +120,15 @@ def test_file_names_with_encodable_characters(box):
     assert status(ingest(wh, str(inbox), 1)) == {f"{n}.csv": "success" for n in names}
 
 
+def test_required_columns_need_values(box):
+    wh, inbox = box
+    put(inbox, a=ORDERS, b=ORDERS.replace("ORD-", "X-").replace("2024-01-15", "soon"),
+        c=ORDERS.replace("ORD-", "Y-").replace("SKU-001,10", "SKU-001,"))
+    assert status(ingest(wh, str(inbox), 1)) == {
+        "a.csv": "success", "b.csv": "dq_failed", "c.csv": "dq_failed"}
+    assert set(rows(wh.order, "channel_order_id")) == {("ORD-001",), ("ORD-002",)}
+
+
 def test_a_quoted_field_may_hold_a_line_break(box):
     wh, inbox = box
     put(inbox, a=ORDERS.replace("SKU-001", '"SKU\n001"'))
@@ -149,6 +158,7 @@ def test_pipeline_rollback_and_status(box):
     put(inbox, a=ORDERS, c=SHIPMENTS, d=CHARGES, e=COSTS)
     run = ops.run_pipeline(wh, str(inbox), AS_OF)
     assert set(run["marts"].values()) == {"ok"} and run["batch_id"] == 1
+    assert "mart_constraint_effectiveness" in run["marts"]
     mart = wh.read("mart", "mart_pnl_cogs")
     assert rows(mart, "item_id", "unit_cost_krw", "cogs_krw") == [("SKU-001", 5000.0, 50000.0)]
     tied = wh.read("mart", "mart_reco_charges_invoice_vs_allocated")

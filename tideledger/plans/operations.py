@@ -26,7 +26,10 @@ MART_ORDER = [
     "mart_reco_settlement_vs_estimated", "mart_reco_charges_invoice_vs_allocated",
     "mart_constraint_signals", "mart_constraint_root_cause", "mart_constraint_action_plan",
     "mart_coverage_period",
+    "mart_constraint_effectiveness",
 ]
+# Marts that are stored in an order.
+SORTED = {"mart_fefo_pick_list": ("warehouse_id", "item_id", "fefo_rank", "lot_id")}
 
 
 # ---- batches ----------------------------------------------------------------------------
@@ -58,7 +61,13 @@ def build_marts(warehouse: Warehouse, as_of_date: dt.date) -> dict[str, str]:
         try:
             if name == "mart_pnl_gross_margin":
                 pnl.assert_unique_grain(marts.mart_pnl_cogs, pnl.GRAIN, "mart_pnl_cogs")
-            warehouse.replace("mart", name, getattr(marts, name))
+            if name == "mart_constraint_effectiveness":
+                mart = constraint.effectiveness(warehouse.issue_log(), marts.mart_constraint_signals)
+                warehouse.replace("mart", name, mart)
+                outcome[name] = "ok"
+                continue
+            mart = getattr(marts, name)
+            warehouse.replace("mart", name, mart.orderBy(*SORTED[name]) if name in SORTED else mart)
             # Later marts read the stored table instead of repeating its plan.
             setattr(marts, name, warehouse.read("mart", name))
             if name == "mart_inventory_onhand":
@@ -69,8 +78,6 @@ def build_marts(warehouse: Warehouse, as_of_date: dt.date) -> dict[str, str]:
             outcome[name] = "ok"
         except Exception as e:  # noqa: BLE001 - reported per mart, raised by the caller
             outcome[name] = f"{type(e).__name__}: {e}"
-    effect = constraint.effectiveness(warehouse.issue_log(), marts.mart_constraint_signals)
-    warehouse.replace("mart", "mart_constraint_effectiveness", effect)
     return outcome
 
 

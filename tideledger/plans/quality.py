@@ -101,6 +101,28 @@ def check_files(rows: DataFrame, table: str, file: str = "file_name") -> DataFra
     return reduce(DataFrame.unionByName, parts)
 
 
+def required_values(rows: DataFrame, table: str, file: str = "file_name") -> DataFrame:
+    """Required columns other than keys, per file: rows without a value after the cast."""
+    contract = config.CONTRACTS[table]
+    columns = {c: t for c, t in contract.required.items()
+               if c in rows.columns and c not in contract.key}
+    counts = [count_where(cast_value(F.col(c), t).isNull()).alias(f"null_{c}")
+              for c, t in columns.items()]
+    per_file = rows.groupBy(file).agg(F.count(F.lit(1)).alias("rows"), *counts)
+    results = [
+        _result(
+            f"null_required_{c}", "HIGH", F.col(f"null_{c}"),
+            F.format_string(f"Required column '{c}' has no value in %d rows of {table}", f"null_{c}"),
+            f"Required column '{c}' has a value in every row",
+        )
+        for c in columns
+    ]
+    if not results:
+        return rows.sparkSession.createDataFrame([], RESULT)
+    found = per_file.select(F.col(file).alias("file_name"), F.explode(F.array(*results)).alias("r"))
+    return found.select("file_name", "r.*")
+
+
 def duplicate_keys(rows: DataFrame, table: str, keys: list[str], file: str) -> DataFrame:
     """Rows beyond the first of each business key, per file."""
     extra = (

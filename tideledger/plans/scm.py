@@ -44,7 +44,7 @@ def inventory_onhand(snapshot: DataFrame, item: DataFrame) -> DataFrame:
 
 
 def fefo_pick_list(snapshot: DataFrame, item: DataFrame) -> DataFrame:
-    """Lots in picking order; sort when reading or within the written files."""
+    """Lots with their picking order; the stored mart is written in that order."""
     return expiry.fefo_rank(
         expiry.sellable_quantity(expiry.lot_expiry(snapshot, item))
     ).select(

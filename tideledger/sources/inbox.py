@@ -156,7 +156,8 @@ def ingest(warehouse, inbox: str, batch_id: int, dry_run: bool = False,
         }
         if strange := set(sizes) - set(by_name):
             raise ValueError(f"rows of files that were not listed: {sorted(strange)}")
-        results = staged(quality.check_files(rows, table), "quality-results")
+        checks = quality.check_files(rows, table).unionByName(quality.required_values(rows, table))
+        results = staged(checks, "quality-results")
         warehouse.append(
             "raw", "system_dq_report",
             results.select(F.lit(batch_id).cast("bigint").alias("batch_id"), "file_name",
