@@ -5,11 +5,13 @@ import re
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tideledger.llm import bpe, lines, minhash, neighbours, packing, passages, quality, secrets, toxicity
+from tideledger.llm import components as graph
 from tideledger.llm.components import components
 from tideledger.llm.counts import TokenLedger
 from tideledger.llm.text import prepared
@@ -85,7 +87,9 @@ def test_sketch_fills_every_place_and_estimates_similarity():
     assert (minhash.sketches([a[:0]], 8) == minhash.EMPTY).all()
 
 
-def test_components_of_a_path_and_a_star(spark):
+@pytest.mark.parametrize("chunk", [7, 200_000])
+def test_components_of_a_path_and_a_star(spark, monkeypatch, chunk):
+    monkeypatch.setattr(graph, "CHUNK_EDGES", chunk)
     edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 30)] + [(7, 7), (None, 3)]
     got = components(spark.createDataFrame(edges, "a long, b long")).collect()
     assert {r.node: r.root for r in got} == {i: 0 for i in range(41)} | {100 + i: 100 for i in range(30)}
@@ -100,6 +104,14 @@ def test_components_of_a_path_and_a_star(spark):
     assert len(got) == len({r.node for r in got})
 
 
+def test_stars_of_a_chunk_keep_its_components():
+    pair = pa.struct([("i", pa.int64()), ("j", pa.int64())])
+    ends = [((5, 1), (5, 0)), ((5, 1), (4, 9)), ((10, 0), (9, 7)), ((5, 0), (5, 1))]
+    column = [pa.array([{"i": e[k][0], "j": e[k][1]} for e in ends], pair) for k in (0, 1)]
+    got = graph.stars(pa.table(column, ["a", "b"])).to_pylist()
+    assert sorted((*r["a"].values(), *r["b"].values()) for r in got) == [(5, 0, 4, 9), (5, 1, 4, 9), (10, 0, 9, 7)]
+
+
 def test_operators_on_odd_rows(spark):
     odd = odd_rows(spark)
     near = minhash.near_duplicates(odd).collect()

@@ -237,7 +237,6 @@ def near_duplicates(
         places.join(first, "band")
         .where(F.col("class_key") != F.col("a"))
         .select("a", F.col("class_key").alias("b"))
-        .distinct()
     )
     clusters = components(candidates)
     sized = clusters.select(F.col("node").alias("class_key"), F.col("root").alias("cluster")).join(
