@@ -72,6 +72,25 @@ def test_equals_window_form_with_ties_and_a_hot_warehouse(spark):
                         *key, "allocated_amount")]
 
 
+def test_totals_equal_the_sums_of_the_rows(spark):
+    rng = random.Random(5)
+    lines = [(f"S{n}", rng.choice(["HOT", "HOT", "B", None]), f"I{n % 5}", float(rng.randrange(1, 5)),
+              rng.choice([None, 0.1, 0.7, 2.3])) for n in range(90)]
+    kinds = [row[0] for row in config.CHARGE_POLICY]
+    charges = charge(spark, *[
+        (f"INV{n}", kinds[n % len(kinds)], float(rng.randrange(0, 900)) + rng.choice([0, 0.5, 0.37]),
+         rng.choice(["KRW", "USD"]), rng.choice(["HOT", "B", "NOWHERE", None])) for n in range(40)])
+    rates = fx(spark, ("2024-01", "USD", 1300.0))
+    for targets in (ship(spark, lines), ship(spark, [])):
+        sums = allocation.allocate_charges(charges, rates, targets).groupBy(
+            "period", *allocation.CHARGE, "charge_domain", "cost_stage", "currency"
+        ).agg(F.count("*").alias("targets"), *[F.round(F.sum(c), 3).alias(c) for c in (
+            "allocated_amount", "allocated_amount_krw")])
+        totals = allocation.charge_totals(charges, rates, targets)
+        totals = totals.withColumn("allocated_amount_krw", F.round("allocated_amount_krw", 3))
+        assert rows(sums, *sums.columns) == rows(totals, *sums.columns)
+
+
 def test_scope_falls_back_to_all_shipments(spark):
     targets = ship(spark, [("S1", "A", "I", 1.0, 1.0), ("S2", "B", "I", 1.0, 1.0)])
     out = allocation.allocate_charges(

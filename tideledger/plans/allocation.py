@@ -11,7 +11,8 @@ the work is in keeping everything else off that grain:
 * ties at the cut-off go to the first targets in a fixed order, whose positions are numbered
   once per warehouse, not once per charge;
 * the last step compares each target with its charge's cut-off: no sort and no window over
-  charge-target rows, and no shuffle of them while the charges are small enough to broadcast.
+  charge-target rows, and no shuffle of them while the charges are small enough to broadcast;
+* sums per charge need no targets at all: they follow from the value histogram.
 """
 
 from __future__ import annotations
@@ -241,17 +242,57 @@ def charge_parts(charges: DataFrame, counts: DataFrame, factor: int) -> DataFram
     )
 
 
-def charge_cutoffs(parts: DataFrame, targets: DataFrame, factor: int) -> DataFrame:
-    """Per charge: the fraction and, on a tie, the position up to which one unit is added."""
-    constant = F.col("allocation_basis").isin(CONSTANT)
+def rounding(parts: DataFrame, factor: int) -> DataFrame:
+    """Per charge: the sum of its targets' floors, and how many targets get one unit more."""
     missing = F.bround(F.col("amount") * F.lit(float(factor))) - F.col("floors")
-    wanted = (
+    return (
         parts.groupBy(*CHARGE, "amount", "targets")
         .agg(F.sum(F.col("floor") * F.col("n")).alias("floors"))
-        .withColumn("extra", F.least(missing.cast("bigint"), F.col("targets")))
-        .where(F.col("extra") > 0)
-        .select(*CHARGE, "extra")
+        .withColumn(
+            "extra",
+            F.greatest(F.lit(0), F.least(missing.cast("bigint"), F.col("targets"))),
+        )
     )
+
+
+def charge_totals(
+    charge: DataFrame,
+    exchange_rate: DataFrame,
+    shipment: DataFrame,
+    decimals: int = config.ALLOCATION_DECIMALS,
+) -> DataFrame:
+    """What ``allocate_charges`` gives each charge in sum, and to how many targets.
+
+    One row per allocated charge, from the counts of basis values alone: neither positions nor
+    charge-target rows are made.
+    """
+    factor = 10**decimals
+    targets = allocation_targets(shipment)
+    charges = staged(
+        scoped_charges(charge, exchange_rate, scope_totals(targets)).where(
+            F.col("allocation_basis").isNotNull()
+        ),
+        "scoped-charges",
+    )
+    parts = charge_parts(charges.where(F.col("scope").isNotNull()), value_counts(targets), factor)
+    spread = rounding(parts, factor).select(*CHARGE, (F.col("floors") + F.col("extra")).alias("units"))
+    whole = F.bround(F.col("amount") * F.lit(float(factor)))
+    units = F.when(F.col("scope").isNull(), whole).otherwise(F.col("units").cast("double"))
+    return (
+        charges.join(spread, CHARGE, "left")
+        .withColumn("allocated_amount", units / F.lit(float(factor)))
+        .select(
+            "period", *CHARGE, "charge_domain", "cost_stage", "currency", "capitalizable_flag",
+            F.coalesce("targets", F.lit(1)).cast("bigint").alias("targets"), "allocated_amount",
+            (F.col("allocated_amount") * F.col("rate")).alias("allocated_amount_krw"),
+        )
+    )
+
+
+def charge_cutoffs(parts: DataFrame, targets: DataFrame, factor: int) -> DataFrame:
+    """Per charge: the fraction and, on a tie, the position up to which one unit is added."""
+    constant = F.col("allocation_basis").isin(CONSTANT)
+    wanted = rounding(parts, factor).where(F.col("extra") > 0).select(*CHARGE, "extra")
     cut = staged(
         weighted_cut(parts, CHARGE, "minus_rest", "n", wanted, "extra", "cut", "before").select(
             *CHARGE,

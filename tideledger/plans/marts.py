@@ -90,6 +90,12 @@ class Marts:
         f = self.facts
         return allocation.allocate_charges(f.charge, f.exchange_rate, f.shipment)
 
+    @cached_property
+    def charge_totals(self) -> DataFrame:
+        """The allocated mart summed per charge, without its rows."""
+        f = self.facts
+        return allocation.charge_totals(f.charge, f.exchange_rate, f.shipment)
+
     # Profit and loss
     @cached_property
     def mart_pnl_revenue(self) -> DataFrame:
@@ -153,7 +159,7 @@ class Marts:
 
     @cached_property
     def mart_reco_charges_invoice_vs_allocated(self) -> DataFrame:
-        return reco.charges_invoice_vs_allocated(self.facts.charge, self.mart_charge_allocated)
+        return reco.charges_invoice_vs_allocated(self.facts.charge, self.charge_totals)
 
     # Constraints
     @cached_property

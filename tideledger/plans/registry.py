@@ -176,9 +176,8 @@ def order_line_shares(m: Marts) -> DataFrame:
 
 def allocation_balance(m: Marts) -> DataFrame:
     """Allocated total of each charge."""
-    return m.mart_charge_allocated.groupBy("invoice_no", "invoice_line_no", "charge_type").agg(
-        F.sum("allocated_amount").alias("allocated_total"),
-        F.count(F.lit(1)).alias("targets"),
+    return m.charge_totals.select(
+        *allocation.CHARGE, F.col("allocated_amount").alias("allocated_total"), "targets"
     )
 
 
@@ -358,12 +357,12 @@ BOARD_QUERIES: dict[str, Query] = {
             m.mart_pnl_operating_profit, "operating_profit_pct", "operating_profit")),
         inexact="avg_pct"),
     "q25_cost_by_domain": _query(
-        lambda m: boards.amount_by(m.mart_pnl_variable_cost, "charge_domain")),
-    "q25_cost_by_stage": _query(lambda m: boards.amount_by(m.mart_charge_allocated, "cost_stage")),
+        lambda m: boards.amount_by(m.charge_totals, "charge_domain")),
+    "q25_cost_by_stage": _query(lambda m: boards.amount_by(m.charge_totals, "cost_stage")),
     "q26_logistics_ratio": _query(
-        lambda m: boards.logistics_ratio(m.mart_pnl_variable_cost, m.mart_pnl_revenue)),
+        lambda m: boards.logistics_ratio(m.charge_totals, m.mart_pnl_revenue)),
     "q27_unit_costs": _query(
-        lambda m: boards.unit_costs_per_sale(m.mart_pnl_variable_cost, m.facts.shipment)),
+        lambda m: boards.unit_costs_per_sale(m.charge_totals, m.facts.shipment)),
     "q28_item_ranking": _query(lambda m: boards.best_and_worst(
         boards.profitability(m.mart_pnl_contribution, "item_id"), "item_id"),
         inexact="contribution_pct"),
