@@ -91,8 +91,8 @@ SQL = {
     "v1_domain_rows": "SELECT domain, period, n AS included_rows FROM domain_rows",
     "v3_closed_period_gaps": """
         SELECT period, domain, coalesce(n, 0) AS included_rows,
-               'REQUIRED domain ''' || domain || ''' has insufficient data for closed period '''
-                   || period || ''' (found ' || coalesce(n, 0) || ' rows, need >= 1)' AS message
+               domain || ': closed period ' || period || ' has ' || coalesce(n, 0)
+                   || ' rows and needs 1' AS message
         FROM (SELECT DISTINCT period FROM fact_exchange_rate WHERE period < '1996-01') p
         CROSS JOIN (VALUES ('fx_rate'), ('logistics_transport'), ('cost_structure')) d(domain)
         LEFT JOIN domain_rows USING (period, domain)
@@ -100,8 +100,8 @@ SQL = {
     "d03_duplicate_keys": """
         SELECT file_name, 'duplicate_business_keys' AS check_name, 'HIGH' AS severity,
                extra = 0 AS passed, CAST(extra AS BIGINT) AS bad_rows,
-               CASE WHEN extra = 0 THEN 'No duplicate business keys in fact_order'
-                    ELSE 'Found ' || extra || ' duplicate business key(s) in fact_order on '
+               CASE WHEN extra = 0 THEN 'fact_order: keys are unique'
+                    ELSE 'fact_order: ' || extra || ' rows repeat a key '
                          || '[''channel_order_id'', ''line_no'']' END AS detail
         FROM (SELECT file_name, count(*) - count(DISTINCT (channel_order_id, line_no)) AS extra
               FROM raw_orders GROUP BY file_name) q""",
@@ -109,9 +109,10 @@ SQL = {
         SELECT file_name, check_name, severity, bad_rows = 0 AS passed, bad_rows
         FROM quality_results""",
     "d07_failed_files": """
-        SELECT file_name, 'Business key ''channel_order_id'' has ' || max(CASE
+        SELECT file_name, 'fact_order: ' || max(CASE
                    WHEN check_name = 'null_business_key_channel_order_id' THEN bad_rows END)
-                   || ' NULL values in fact_order' AS error, count(*) AS failed_checks
+                   || ' rows without key column channel_order_id' AS error,
+               count(*) AS failed_checks
         FROM quality_results WHERE bad_rows > 0 GROUP BY file_name""",
     "d08_duplicate_grain": """
         SELECT period, item_id, channel_store_id, count(*) AS rows FROM mart_pnl_revenue

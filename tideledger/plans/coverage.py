@@ -111,8 +111,7 @@ def closed_period_gaps(closed: DataFrame, rows: DataFrame) -> DataFrame:
     )
     n = F.coalesce("included_rows", F.lit(0)).cast("bigint")
     message = F.format_string(
-        "REQUIRED domain '%s' has insufficient data for closed period '%s' "
-        f"(found %d rows, need >= {config.COVERAGE_MIN_ROWS})",
+        f"%s: closed period %s has %d rows and needs {config.COVERAGE_MIN_ROWS}",
         "domain", "period", n,
     )
     return (

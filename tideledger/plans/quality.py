@@ -69,8 +69,8 @@ def check_files(rows: DataFrame, table: str, file: str = "file_name") -> DataFra
     results = [
         _result(
             "required_columns", "CRITICAL", F.lit(len(missing)),
-            F.lit(f"Missing required columns for {table}: {missing}"),
-            f"All required columns present for {table}",
+            F.lit(f"{table} lacks the columns {missing}"),
+            f"{table} has all columns it needs",
         )
     ]
     for k in keys:
@@ -78,8 +78,8 @@ def check_files(rows: DataFrame, table: str, file: str = "file_name") -> DataFra
         results.append(
             _result(
                 f"null_business_key_{k}", "CRITICAL", bad,
-                F.format_string(f"Business key '{k}' has %d NULL values in {table}", bad),
-                f"Business key '{k}' has no NULLs",
+                F.format_string(f"{table}: %d rows without key column {k}", bad),
+                f"{table}: key column {k} is filled",
             )
         )
     for c, t in typed.items():
@@ -88,8 +88,8 @@ def check_files(rows: DataFrame, table: str, file: str = "file_name") -> DataFra
         results.append(
             _result(
                 f"type_coercion_{c}", "HIGH", bad,
-                F.format_string(f"Column '{c}' cannot be cast to {t} in %d rows", bad.cast("bigint")),
-                f"Column '{c}' can be cast to {t}",
+                F.format_string(f"{table}: %d rows whose {c} is no {t}", bad.cast("bigint")),
+                f"{table}: {c} is {t} throughout",
             )
         )
     found = per_file.select(F.col(file).alias("file_name"), F.explode(F.array(*results)).alias("r"))
@@ -133,8 +133,8 @@ def duplicate_keys(rows: DataFrame, table: str, keys: list[str], file: str) -> D
     )
     result = _result(
         "duplicate_business_keys", "HIGH", F.col("extra"),
-        F.format_string(f"Found %d duplicate business key(s) in {table} on {keys}", "extra"),
-        f"No duplicate business keys in {table}",
+        F.format_string(f"{table}: %d rows repeat a key {keys}", "extra"),
+        f"{table}: keys are unique",
     )
     return extra.select(F.col(file).alias("file_name"), result.alias("r")).select(
         "file_name", "r.*"
