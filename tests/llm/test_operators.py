@@ -248,6 +248,45 @@ def test_planted_passages_are_found(spark):
     assert all(r.first_word == (0 if r.doc_id == 90 else 80) and r.n_words == 60 for r in got)
 
 
+def covered_places(a, b, least, percent):
+    """Places of b in any stretch that is similar enough to one of a, by trying all of one length or two more."""
+    out = set()
+    for x, y in itertools.product(range(len(a) - least + 1), range(len(b) - least + 1)):
+        for n, m in itertools.product(range(least, least + 3), repeat=2):
+            p, q = set(a[x:x + n]), set(b[y:y + m])
+            if x + n <= len(a) and y + m <= len(b) and 100 * len(p & q) >= percent * len(p | q):
+                out |= {*range(y, y + m)}
+    return out
+
+
+def test_passages_with_repeated_shingles_equal_brute_force():
+    rng = np.random.default_rng(12)
+    fresh = lambda n: rng.integers(1, 2**62, n).astype(np.uint64)
+    for earlier in (0, 20, 25, 30, 44):  # a shingle of the passage also stands earlier in a
+        passage = fresh(46)
+        a = np.concatenate([fresh(30), passage[earlier:earlier + 2], fresh(40), passage, fresh(9)])
+        b = np.concatenate([fresh(15), passage, fresh(20)])
+        got = passages.common_passages(a, b, 46, 80)
+        found = {p for _, _, b0, b1 in got for p in range(b0, b1 + 1)}
+        assert {*range(15, 61)} <= found <= covered_places(a, b, 46, 80)
+        assert (72, 117, 15, 60) in got
+
+
+def test_near_copy_beside_a_short_shared_line_is_found():
+    rng = np.random.default_rng(13)
+    fresh = lambda n: rng.integers(1, 2**62, n).astype(np.uint64)
+    passage, line = fresh(56), fresh(10)
+    changed = passage.copy()
+    changed[25:30] = fresh(5)
+    a = np.concatenate([fresh(12), passage, fresh(11), line, fresh(20)])
+    b = np.concatenate([fresh(12), changed, fresh(11), line, fresh(20)])
+    got = passages.common_passages(a, b, 46, 80)
+    found = {p for _, _, b0, b1 in got for p in range(b0, b1 + 1)}
+    assert {*range(12, 68)} <= found <= covered_places(a, b, 56, 80)
+    three = np.tile(fresh(3), 6000)
+    assert max(b1 for _, _, _, b1 in passages.common_passages(three, three[1:], 46, 80)) == 17_998
+
+
 def test_windows_equal_the_definition():
     rng = np.random.default_rng(4)
     h = rng.permutation(80).astype(np.uint64)
