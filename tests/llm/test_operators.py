@@ -287,6 +287,49 @@ def test_near_copy_beside_a_short_shared_line_is_found():
     assert max(b1 for _, _, _, b1 in passages.common_passages(three, three[1:], 46, 80)) == 17_998
 
 
+def test_passages_beside_a_line_that_many_hold_are_found(spark):
+    line = prose(71, 42, 3000)
+    around = lambda i: (prose(4000 + i, 30, 3000), prose(6000 + i, 30, 3000))
+    rows = {i: " ".join([around(i)[0], line, around(i)[1]]) for i in range(300)}
+    for i in range(40):  # ten words after the line are one more document's too: 52 words in all
+        own = prose(9000 + i, 10, 3000)
+        for d in (1000 + i, 1500 + 7 * i):
+            rows[d] = " ".join([around(d)[0], line, own, around(d)[1]])
+    got = passages.repeated_passages(docs(spark, *rows.items()), percent=100).collect()
+    by = {}
+    for r in got:
+        by.setdefault(r.passage_group, set()).add(r.doc_id)
+        assert r.n_words == 52 and r.first_word == 30
+    assert sorted(map(sorted, by.values())) == [[1000 + i, 1500 + 7 * i] for i in range(40)]
+
+
+def test_blocks_link_all_that_share_a_passage():
+    rng = np.random.default_rng(15)
+    fresh = lambda n: rng.integers(1, 2**62, n).astype(np.uint64)
+    line, own = fresh(38), [fresh(8) for _ in range(6)]
+    places = [np.concatenate([fresh(30), line, own[k % 6] if k < 18 else fresh(8), np.tile(fresh(2), 10)]) for k in range(40)]
+    links = passages.block_links(np.arange(40), np.zeros(40), places, 46, 100)
+    group = list(range(40))
+    for i, j in links:
+        group = [group[i] if g == group[j] else g for g in group]
+    assert [group[k] == group[k % 6] for k in range(18)] == [True] * 18
+    assert len({*group}) == 6 + 22
+    assert passages.fewest_kinds(places[0], 46) == min(len({*places[0][k:k + 46]}) for k in range(len(places[0]) - 45))
+
+
+def test_keys_are_shared_at_the_limit():
+    rng, met = np.random.default_rng(14), 0
+    for _ in range(400):
+        words = rng.integers(1, 2**62, 50).astype(np.uint64)
+        other = words.copy()
+        other[rng.integers(5, 45)] += np.uint64(1)  # 41 of 51 shingles are shared
+        with_context = lambda x: passages.shingle_hashes(
+            np.concatenate([rng.integers(1, 2**62, 60).astype(np.uint64), x, rng.integers(1, 2**62, 60).astype(np.uint64)]), 5)
+        a, b = (passages.meeting_places(with_context(x), 46, passages.HASHES)[0] for x in (words, other))
+        met += len(np.intersect1d(a, b)) > 0
+    assert met >= 398
+
+
 def test_windows_equal_the_definition():
     rng = np.random.default_rng(4)
     h = rng.permutation(80).astype(np.uint64)
