@@ -34,3 +34,14 @@ def test_near_copies_leave_one_of_each_group(spark):
     # A null id is no key to drop rows by: such rows stay.
     more = rows.union(rows.limit(1).withColumn("doc_id", F.lit(None).cast("long")))
     assert corpus_pipeline.without_near_copies(spark, more, FOLDER).where("doc_id is null").count() == 1
+
+
+def test_one_of_a_group_of_copies_keeps_its_text(spark):
+    copied, foot = prose(5, 60) + "\n" + prose(6, 60), "about this site"
+    rows = [(i, copied.upper() if i % 2 else copied) for i in range(20)]
+    rows += [(100 + i, prose(700 + i, 80, 4_000) + "\n" + foot) for i in range(30)]
+    lean = corpus_pipeline.without_boilerplate(spark, docs(spark, *rows), FOLDER)
+    out = {r.doc_id: r.text for r in corpus_pipeline.without_near_copies(spark, lean, FOLDER).collect()}
+    assert [i for i in out if i < 100] == [0] and out[0] == copied
+    assert {*out} == {0, *range(100, 130)}
+    assert all(foot not in out[100 + i] and out[100 + i] for i in range(30))

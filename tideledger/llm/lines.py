@@ -46,12 +46,14 @@ def drop_boilerplate(
     text: str = "text",
     ratio: float = RATIO,
     min_pages: int = MIN_PAGES,
+    copies_once: bool = False,
 ) -> DataFrame:
     """``docs`` with two more columns: n_lines and clean_text, the text without boilerplate.
 
     A line is boilerplate on a host if more than ``ratio`` of the host's pages hold it, and
-    ``min_pages`` of them at least. Every row is a page, repeated rows too; a line counts once for
-    a page. Lines are compared in normalised form and kept as they were written. Lines without a
+    ``min_pages`` of them at least. Every row is a page, repeated rows too; with ``copies_once``
+    pages of a host with the same lines are one page, so that a content is not boilerplate because
+    it has copies. A line counts once for a page. Lines are compared in normalised form and kept as they were written. Lines without a
     word are never counted and always stay. Rows without a host form a host of their own. A null
     text has no lines (n_lines 0) and stays null; a text whose lines all go becomes empty. Other
     columns are left alone.
@@ -61,6 +63,8 @@ def drop_boilerplate(
     """
     prepared(docs.sparkSession)
     keyed = docs.select(F.col(host).cast("string").alias("host"), line_keys(F.col(text)).alias("keys"))
+    if copies_once:
+        keyed = keyed.withColumn("content", F.xxhash64("keys")).dropDuplicates(["host", "content"]).drop("content")
     frequent = (
         page_counts(keyed)
         .where((F.col("n_pages") > ratio * F.col("n_host")) & (F.col("n_pages") >= min_pages))
