@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from conftest import cost, day, rows
 from tideledger.operators.asof import asof_join, latest_version
 from tideledger.operators.joins import left_join_sparse_key
-from tideledger.operators.ranking import ordered_position, weighted_cut
+from tideledger.operators.ranking import globally_numbered, ordered_position, weighted_cut
 from tideledger.operators.reconcile import reconcile
 from tideledger.operators.upsert import newest_per_key, upsert
 from tideledger.plans.scm import unit_costs
@@ -29,15 +29,21 @@ def test_position_equals_row_number_on_a_hot_group(spark, split_rows):
     assert rows(got, "g", "s", "t", "u", "pos") == rows(want, "g", "s", "t", "u", "pos")
 
 
-@pytest.mark.parametrize("bins", [1, 4, 1024])
-def test_weighted_cut_equals_running_sum(spark, bins):
-    rng = random.Random(2)
-    data = [(f"g{n % 3}", round(rng.random() ** 4, 2), rng.randrange(1, 5)) for n in range(300)]
-    ks = {f"g{i}": k for i, k in enumerate([1, 77, 160])}
-    df = spark.createDataFrame(data, "g string, v double, n int")
-    wanted = spark.createDataFrame(list(ks.items()), "g string, k bigint")
-    got = rows(weighted_cut(df, ["g"], "v", "n", wanted, "k", "cut", "before", bins),
-               "g", "cut", "before")
+def test_one_group_and_equal_rows_are_split_over_tasks(spark):
+    data = [(None if n % 2 else "w", 1, "same") if n % 3 else ("w", n, f"t{n}") for n in range(900)]
+    df = spark.createDataFrame(data, "g string, s int, t string")
+    got = ordered_position(df, ["g"], ["s"], ["t"], "pos", 10)
+    want = df.withColumn(
+        "pos", F.row_number().over(Window.partitionBy("g").orderBy("s", "t")).cast("bigint"))
+    assert rows(got, "g", "s", "t", "pos") == rows(want, "g", "s", "t", "pos")
+    numbered = globally_numbered(df, ["g", "s", "t"], "at", 10)
+    assert [r.at for r in numbered.orderBy("at").collect()] == list(range(900))
+    ordered = [(r.g or "", r.s, r.t) for r in numbered.orderBy("at").collect()]
+    assert ordered == sorted(ordered)
+    assert globally_numbered(df.limit(0), ["g"], "at").count() == 0
+
+
+def cut_by_running_sum(data, ks):
     want = []
     for g, k in ks.items():
         passed = 0
@@ -47,7 +53,26 @@ def test_weighted_cut_equals_running_sum(spark, bins):
                 want.append((g, v, passed))
                 break
             passed += n
-    assert got == sorted(want)
+    return sorted(want)
+
+
+@pytest.mark.parametrize("points", [1, 7, 100_000])
+@pytest.mark.parametrize("shape", ["skewed", "outlier", "near_equal", "one_value"])
+def test_weighted_cut_equals_running_sum(spark, shape, points):
+    rng = random.Random(2)
+    make = {
+        "skewed": lambda n: round(rng.random() ** 4, 2),
+        "outlier": lambda n: 1e300 if n % 50 == 0 else -1e300 if n % 50 == 1 else rng.random(),
+        "near_equal": lambda n: 0.5 + rng.randrange(40) * 2.0**-53,
+        "one_value": lambda n: 0.25,
+    }[shape]
+    data = [(f"g{n % 3}", make(n), rng.randrange(1, 5)) for n in range(240)]
+    ks = {f"g{i}": k for i, k in enumerate([1, 77, 150])}
+    df = spark.createDataFrame(data, "g string, v double, n int")
+    wanted = spark.createDataFrame(list(ks.items()), "g string, k bigint")
+    got = rows(weighted_cut(df, ["g"], "v", "n", wanted, "k", "cut", "before", 16, points),
+               "g", "cut", "before")
+    assert got == cut_by_running_sum(data, ks)
 
 
 def test_asof_takes_the_version_in_force(spark):

@@ -126,7 +126,7 @@ def test_coverage_without_any_period(spark):
 
 def test_closed_period_without_rates_is_an_error(spark):
     gaps = coverage.closed_period_gaps(closed(spark, "2024-01"), facts(spark))
-    assert any("fx_rate" in r.message and "found 0 rows" in r.message for r in gaps.collect())
+    assert any("fx_rate" in r.message and "has 0 rows" in r.message for r in gaps.collect())
 
 
 def test_unknown_warehouse_and_missing_cost(spark):
