@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideledger.llm import bpe, counts, lines, passages, quality, secrets, toxicity
+from tideledger.llm import bpe, clustering, counts, lines, passages, quality, secrets, sharding, toxicity
+from tideledger.llm.hardnegatives import hard_negatives
 from tideledger.llm.minhash import near_duplicates
 from tideledger.llm.neighbours import nearest
 from tideledger.llm.packing import packed, word_count
@@ -100,10 +101,27 @@ def op10_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packed(table(spark, folder, "documents"))
 
 
+def op11_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    rows = sharding.sharded(table(spark, folder, "documents"))
+    return rows.select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    shifted = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(table(spark, folder, "embeddings").withColumn("label", shifted))
+
+
+def op13_centroid_clustering(spark: SparkSession, folder: str) -> DataFrame:
+    return clustering.cluster_report(*clustering.clustered(table(spark, folder, "embeddings")))
+
+
 def queries() -> dict[str, Query]:
     own = (op1_minhash_near_dedup, op2_secret_scan, op3_toxicity, op4_bpe_round_trip, op5_line_dedup,
            op6_token_counts, op7_quality_rules, op8_substring_dedup, op9_nearest_neighbours,
-           op10_best_fit_packing)
+           op10_best_fit_packing, op11_sharding, op12_hard_negatives, op13_centroid_clustering)
     return {q.__name__: q for q in own}
 
 
@@ -186,6 +204,74 @@ SELECT *, n_words < {quality.MIN_WORDS} OR 100 * n_repeat_words > {quality.REPEA
 FROM base
 """
 
+FINE = "len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"
+
+OP12_SQL = f"""
+WITH fine AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0 AND {FINE}
+), scored AS (
+    SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+           CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+    FROM fine a JOIN fine b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0
+), positives AS (
+    SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scored WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5
+)
+SELECT anchor_id, positive_id,
+       CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id) AS INTEGER) AS rank,
+       other_id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scored USING (anchor_id)
+WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id) <= 5
+"""
+
+
+def _op13_sql() -> str:
+    """Each round is an assignment and the new centroids, one list of lists in a single row."""
+    assign = """
+assigned_{r} AS MATERIALIZED (
+    SELECT vec_id, v, list_position(d, list_min(d)) - 1 AS cluster, list_min(d) AS distance FROM (
+        SELECT vec_id, v, list_transform(cs, lambda c: list_sum(list_transform(range(1, 65),
+                   lambda i: (v[i] - c[i]) * (v[i] - c[i])))) AS d
+        FROM kept, centroids_{r}
+    )
+)"""
+    move = """
+centroids_{next} AS MATERIALIZED (
+    SELECT list(coalesce(c, cs[k]) ORDER BY k) AS cs
+    FROM (SELECT cs, unnest(range(1, len(cs) + 1)) AS k FROM centroids_{r}) LEFT JOIN (
+        SELECT cluster + 1 AS k, list(m ORDER BY i) AS c FROM (
+            SELECT cluster, i, CAST((sum(x) - ((sum(x) % count(*)) + count(*)) % count(*)) // count(*) AS BIGINT) AS m
+            FROM (SELECT cluster, unnest(v) AS x, unnest(range(1, 65)) AS i FROM assigned_{r})
+            GROUP BY cluster, i
+        ) GROUP BY cluster
+    ) USING (k)
+)"""
+    rounds = "".join(
+        "," + assign.format(r=r) + "," + move.format(r=r, next=r + 1) for r in range(clustering.ROUNDS)
+    )
+    last = clustering.ROUNDS
+    return f"""
+WITH kept AS MATERIALIZED (
+    SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+    FROM embeddings WHERE len(embedding) = 64 AND {FINE}
+), centroids_0 AS MATERIALIZED (
+    SELECT list(v ORDER BY key, v) AS cs FROM (
+        SELECT v, sha256('3:' || vec_id) AS key FROM kept WHERE vec_id IS NOT NULL
+        ORDER BY key, v LIMIT {clustering.CENTROIDS}
+    )
+){rounds},{assign.format(r=last)}
+SELECT vec_id, CAST(cluster AS INTEGER) AS cluster, CAST(distance AS BIGINT) AS distance,
+       CAST(sum(distance) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia,
+       CAST(sum(distance) OVER () AS BIGINT) AS inertia,
+       sha256(array_to_string(cs[cluster + 1], ',')) AS centroid_sha256
+FROM assigned_{last}, centroids_{last}
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_line_dedup": OP5_SQL, "op6_token_counts": OP6_SQL, "op7_quality_rules": OP7_SQL}
+    return {"op5_line_dedup": OP5_SQL, "op6_token_counts": OP6_SQL, "op7_quality_rules": OP7_SQL,
+            "op12_hard_negatives": OP12_SQL, "op13_centroid_clustering": _op13_sql()}
