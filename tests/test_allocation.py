@@ -32,11 +32,11 @@ def fx(spark, *lines):
 ])
 def test_allocation_adds_up(spark, amount, quantities):
     targets = ship(spark, [(f"S{n}", "W", "I", q, q) for n, q in enumerate(quantities)])
-    for kind in ("LAST_MILE_PARCEL", "CUSTOMS_DUTY", "PLATFORM_FEE"):
-        out = allocation.allocate_charges(
-            charge(spark, ("INV", kind, amount, "KRW", "W")), fx(spark), targets)
-        assert out.agg(F.sum("allocated_amount")).first()[0] == amount
-        assert out.count() == len(quantities)
+    kinds = ("LAST_MILE_PARCEL", "CUSTOMS_DUTY", "PLATFORM_FEE")
+    out = allocation.allocate_charges(
+        charge(spark, *[(f"INV-{k}", k, amount, "KRW", "W") for k in kinds]), fx(spark), targets)
+    sums = out.groupBy("charge_type").agg(F.sum("allocated_amount").alias("s"), F.count("*").alias("n"))
+    assert rows(sums, "charge_type", "s", "n") == sorted((k, amount, len(quantities)) for k in kinds)
 
 
 def test_equals_window_form_with_ties_and_a_hot_warehouse(spark):
@@ -91,6 +91,64 @@ def test_totals_equal_the_sums_of_the_rows(spark):
         assert rows(sums, *sums.columns) == rows(totals, *sums.columns)
 
 
+def random_allocation(spark, seed, n_lines=200, n_charges=50):
+    rng = random.Random(seed)
+    lines = [(f"S{n:03d}", rng.choice(["HOT", "HOT", "B", "C", None]), f"I{rng.randrange(5)}",
+              float(rng.randrange(1, 6)), rng.choice([None, 0.1, 0.7, 2.3])) for n in range(n_lines)]
+    kinds = [row[0] for row in config.CHARGE_POLICY]
+    charges = charge(spark, *[
+        (f"INV{n}", rng.choice(kinds), float(rng.randrange(0, 900)) + rng.choice([0, 0.5, 0.37]),
+         rng.choice(["KRW", "USD"]), rng.choice(["HOT", "B", "NOWHERE", None]))
+        for n in range(n_charges)])
+    return charges, fx(spark, ("2024-01", "USD", 1300.0)), ship(spark, lines)
+
+
+@pytest.mark.parametrize("seed,n_lines,decimals,points", [
+    (1, 200, 0, 100_000), (2, 200, 2, 2), (3, 7, 0, 1), (4, 0, 0, 5)])
+def test_sums_from_factors_equal_sums_of_pairs(spark, monkeypatch, seed, n_lines, decimals, points):
+    monkeypatch.setattr(allocation, "BUCKET", 16)
+    monkeypatch.setattr(allocation, "CUT_POINTS", points)
+    charges, rates, targets = random_allocation(spark, seed, n_lines)
+    spread = allocation.spread_charges(charges, rates, targets, decimals)
+    pairs = allocation.expanded(spread)
+    for charge_keys, target_keys in (
+        (["period", "charge_domain", "charge_type"], ["item_id", "channel_store_id"]),
+        (["period", *allocation.CHARGE], []),
+    ):
+        by = [*charge_keys, *target_keys]
+        want = pairs.groupBy(*by).agg(
+            F.count("*").alias("targets"), F.round(F.sum("allocated_amount"), 4).alias("amount"),
+            F.round(F.sum("allocated_amount_krw"), 3).alias("krw"))
+        got = allocation.allocated_sums(spread, charge_keys, target_keys).groupBy(*by).agg(
+            F.sum("targets").alias("targets"), F.round(F.sum("allocated_amount"), 4).alias("amount"),
+            F.round(F.sum("allocated_amount_krw"), 3).alias("krw"))
+        assert rows(got, *by, "targets", "amount", "krw") == rows(want, *by, "targets", "amount", "krw")
+
+
+def test_sums_look_at_lines_for_ties_only(spark):
+    """Targets are grouped before they meet a charge, so no column that tells lines apart is read."""
+    charges, rates, targets = random_allocation(spark, 8)
+    spread = allocation.spread_charges(charges, rates, targets)
+    even = spread.charges.where(F.col("allocation_basis").isin(allocation.CONSTANT))
+    sums = allocation.allocated_sums(
+        allocation.Spread(even, spread.parts, spread.targets, 1), ["period", "charge_type"],
+        ["item_id", "channel_store_id"])
+    plan = sums._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    assert not any("shipment_id" in line for line in plan if "Relation" not in line)
+    assert sums.count() > 0
+
+
+def test_view_over_stored_factors_equals_the_rows(spark):
+    for seed, n_lines in ((5, 150), (6, 0)):
+        spread = allocation.spread_charges(*random_allocation(spark, seed, n_lines), 2)
+        spread.charges.createOrReplaceTempView("factors")
+        spread.targets.createOrReplaceTempView("factor_targets")
+        view = spark.sql(allocation.expansion_sql("factors", "factor_targets", spread.factor))
+        want = allocation.expanded(spread)
+        assert view.columns == want.columns
+        assert rows(view, *view.columns) == rows(want, *view.columns)
+
+
 def test_scope_falls_back_to_all_shipments(spark):
     targets = ship(spark, [("S1", "A", "I", 1.0, 1.0), ("S2", "B", "I", 1.0, 1.0)])
     out = allocation.allocate_charges(

@@ -48,7 +48,7 @@ def put(inbox, **files):
 
 
 def status(outcomes):
-    return {o["file_name"]: o["status"] for o in outcomes}
+    return {o["file_name"]: o["status"] for o in outcomes.collect()}
 
 
 def test_headers_route_to_their_fact():

@@ -69,11 +69,11 @@ def ordered_position(
     other.
     """
     sizes = df.groupBy(*group).agg(F.count(F.lit(1)).alias("__size"))
-    hot = staged(sizes.where(F.col("__size") > split_rows).select(*group), "hot-groups")
+    hot = sizes.where(F.col("__size") > split_rows).select(*group)
     small = F.row_number().over(Window.partitionBy(*group).orderBy(*steps, *tail)).cast("bigint")
     if hot.isEmpty():
         return df.withColumn(out, small)
-    keys = hot.select(*[F.col(g).alias(f"__{g}") for g in group])
+    keys = staged(hot, "hot-groups").select(*[F.col(g).alias(f"__{g}") for g in group])
     same = same_group(group)
     cold = df.join(keys, same, "left_anti").withColumn(out, small)
     large = position_across_tasks(df.join(keys, same, "left_semi"), group, steps + tail, out, split_rows)

@@ -10,22 +10,30 @@ the work is in keeping everything else off that grain:
   fraction is found on the value histogram of each scope;
 * ties at the cut-off go to the first targets in a fixed order, whose positions are numbered
   once per warehouse, not once per charge;
-* the last step compares each target with its charge's cut-off: no sort and no window over
-  charge-target rows, and no shuffle of them while the charges are small enough to broadcast;
+* so the mart is stored as factors, a row per charge (scope, basis, cut-off) and a row per
+  target (basis values, positions), and expanded where single rows are asked for: a comparison of
+  each target with its charge's cut-off, without a sort or window over charge-target rows;
+* sums per item and store need no pairs either: what a target gets from a charge depends on its
+  value alone, so counts per value are multiplied, and a basis that is 1 for all targets gives
+  one more unit up to a position, so the targets of an item and store, which lie side by side, get
+  the overlap of two intervals. Only ties at a cut-off are looked up line by line;
 * sums per charge need no targets at all: they follow from the value histogram.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tideledger import config
-from tideledger.operators.joins import is_small
-from tideledger.operators.ranking import ordered_position, weighted_cut
+from tideledger.operators.joins import BROADCAST_ROWS, is_small
+from tideledger.operators.ranking import CUT_POINTS, ordered_position, weighted_cut
 from tideledger.operators.staging import staged
 
 # Bases that a target can carry, in the order in which they are summarised.
@@ -35,6 +43,10 @@ BASES = MEASURED + CONSTANT
 CHARGE = ["invoice_no", "invoice_line_no", "charge_type"]
 EVERYWHERE = "__all_warehouses__"
 SLICES = 64
+# Positions that meet in one task where intervals are compared.
+BUCKET = 65_536
+# Cut position of charges whose tied targets all get one unit more.
+ALL_TIED = 2**62
 
 COLUMNS = [
     "period", "charge_type", "charge_domain", "cost_stage", "invoice_no", "invoice_line_no",
@@ -195,34 +207,36 @@ def _floor_and_rest(value: Column, factor: int) -> dict[str, Column]:
     return {"floor": F.floor(units), "rest": units - F.floor(units)}
 
 
-def value_counts(targets: DataFrame) -> DataFrame:
-    """How often each value of each measured basis occurs, per scope.
+def used_bases(charges: DataFrame) -> list[tuple[str, bool]]:
+    """The measured bases that charges use, each with whether over all warehouses: 8 pairs at most."""
+    pairs = charges.where(F.col("allocation_basis").isin(MEASURED)).select(
+        "allocation_basis", F.col("scope") == EVERYWHERE
+    )
+    return sorted((r[0], r[1]) for r in pairs.distinct().collect())
+
+
+def value_counts(
+    targets: DataFrame, used: list[tuple[str, bool]], by: list[str] = []
+) -> DataFrame:
+    """How often each value of a used basis occurs, per scope and ``by`` columns.
 
     The value 1 of the constant bases needs no counting: its count is the scope's size.
     """
-    stacked = targets.select(
-        F.col("warehouse_id").alias("scope"),
-        F.explode(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(b).alias("allocation_basis"),
-                        F.coalesce(F.col(b), F.lit(0.0)).alias("basis_value"),
-                    )
-                    for b in MEASURED
-                ]
-            )
-        ).alias("v"),
-    ).select("scope", "v.*")
-    per_warehouse = stacked.groupBy("scope", "allocation_basis", "basis_value").agg(
-        F.count(F.lit(1)).alias("n")
-    )
-    overall = (
-        per_warehouse.groupBy("allocation_basis", "basis_value")
-        .agg(F.sum("n").alias("n"))
-        .select(F.lit(EVERYWHERE).alias("scope"), "*")
+    entries = [
+        F.struct(
+            (F.lit(EVERYWHERE) if everywhere else F.col("warehouse_id")).alias("scope"),
+            F.lit(b).alias("allocation_basis"),
+            F.coalesce(F.col(b), F.lit(0.0)).alias("basis_value"),
+        )
+        for b, everywhere in used or [(MEASURED[0], True)]
+    ]
+    targets = targets if used else targets.limit(0)
+    return (
+        targets.select(*by, F.explode(F.array(*entries)).alias("v"))
+        .select(*by, "v.*")
+        .groupBy("scope", "allocation_basis", "basis_value", *by)
+        .agg(F.count(F.lit(1)).alias("n"))
     )
-    return per_warehouse.unionByName(overall)
 
 
 def charge_parts(charges: DataFrame, counts: DataFrame, factor: int) -> DataFrame:
@@ -274,7 +288,8 @@ def charge_totals(
         ),
         "scoped-charges",
     )
-    parts = charge_parts(charges.where(F.col("scope").isNotNull()), value_counts(targets), factor)
+    placed = charges.where(F.col("scope").isNotNull())
+    parts = charge_parts(placed, value_counts(targets, used_bases(placed)), factor)
     spread = rounding(parts, factor).select(*CHARGE, (F.col("floors") + F.col("extra")).alias("units"))
     whole = F.bround(F.col("amount") * F.lit(float(factor)))
     units = F.when(F.col("scope").isNull(), whole).otherwise(F.col("units").cast("double"))
@@ -289,65 +304,154 @@ def charge_totals(
     )
 
 
-def charge_cutoffs(parts: DataFrame, targets: DataFrame, factor: int) -> DataFrame:
-    """Per charge: the fraction and, on a tie, the position up to which one unit is added."""
-    constant = F.col("allocation_basis").isin(CONSTANT)
-    wanted = rounding(parts, factor).where(F.col("extra") > 0).select(*CHARGE, "extra")
-    cut = staged(
-        weighted_cut(parts, CHARGE, "minus_rest", "n", wanted, "extra", "cut", "before").select(
-            *CHARGE,
-            (-F.col("cut")).alias("cut_rest"),
-            (F.col("extra") - F.col("before")).alias("tied_extra"),
-        ),
-        "charge-cuts",
-    )
-    tied_values = staged(
-        parts.join(cut, CHARGE)
-        .where(F.col("rest") == F.col("cut_rest"))
-        .select(
-            *CHARGE, "scope", "allocation_basis", "basis_value", "n", "cut_rest", "tied_extra"
-        ),
-        "charge-ties",
-    )
-    tied_targets = tied_values.groupBy(*CHARGE).agg(F.sum("n").alias("tied"))
-    # Where every tied target gets its unit, or a constant basis ties all of them, the position
-    # follows without looking at targets. Few fractions are equal for different basis values.
-    graded = tied_values.join(tied_targets, CHARGE)
-    settled = constant | (F.col("tied") == F.col("tied_extra"))
-    last = F.when(constant, F.col("tied_extra")).otherwise(F.lit(2**62))
-    direct = graded.where(settled).select(*CHARGE, "cut_rest", last.alias("cut_position"))
-    contested = graded.where(~settled)
-    if is_small(tied_values):
-        contested = F.broadcast(contested)
-    rivals = staged(
-        contested.join(
-            stacked_positions(targets), ["scope", "allocation_basis", "basis_value"]
-        ).select(*CHARGE, "spot", F.lit(1).alias("one")),
-        "charge-rivals",
+def cut_parts(parts: DataFrame, factor: int) -> DataFrame:
+    """``parts`` with the cut-off: ``cut_rest`` (NULL where no target gets more than its floor) and
+    ``tied_extra``, the number of targets at the cut-off fraction that get one unit more.
+
+    Most charges meet few distinct values, which one window orders; if a charge meets more than
+    ``CUT_POINTS``, the cut is searched by refined histograms instead.
+    """
+    whole = Window.partitionBy(*CHARGE)
+    missing = F.bround(F.col("amount") * F.lit(float(factor))) - F.sum(F.col("floor") * F.col("n")).over(whole)
+    extra = F.greatest(F.lit(0), F.least(missing.cast("bigint"), F.col("targets")))
+    most = parts.groupBy(*CHARGE).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
+    if (most or 0) > CUT_POINTS:
+        wanted = rounding(parts, factor).where(F.col("extra") > 0).select(*CHARGE, "extra")
+        cut = weighted_cut(parts, CHARGE, "minus_rest", "n", wanted, "extra", "cut", "before").select(
+            *CHARGE, (-F.col("cut")).alias("cut_rest"), (F.col("extra") - F.col("before")).alias("tied_extra")
+        )
+        return parts.join(cut, CHARGE, "left")
+    # Targets above a row's fraction, and those with it.
+    through = F.sum("n").over(whole.orderBy("minus_rest").rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    same = F.sum("n").over(Window.partitionBy(*CHARGE, "minus_rest"))
+    holds = (F.col("through") - F.col("same") < F.col("extra")) & (F.col("extra") <= F.col("through"))
+    return (
+        parts.withColumns({"extra": extra, "through": through, "same": same})
+        .withColumn("__cut", F.when(holds, F.struct(
+            F.col("rest").alias("rest"), (F.col("extra") - F.col("through") + F.col("same")).alias("tied"))))
+        .withColumn("__cut", F.max("__cut").over(whole))
+        .withColumns({"cut_rest": F.col("__cut.rest"), "tied_extra": F.col("__cut.tied")})
+        .drop("extra", "through", "same", "__cut")
     )
+
+
+def cut_positions(parts: DataFrame, targets: DataFrame) -> DataFrame:
+    """Per charge whose tied targets do not all get a unit, the position up to which they do.
+
+    Few fractions are equal for different basis values, so few targets are looked at.
+    """
+    tied = parts.where(F.col("rest") == F.col("cut_rest"))
+    in_charge = Window.partitionBy(*CHARGE)
+    contested = staged(
+        tied.withColumn("tied", F.sum("n").over(in_charge))
+        .where(~F.col("allocation_basis").isin(CONSTANT) & (F.col("tied") > F.col("tied_extra")))
+        .select(*CHARGE, "scope", "allocation_basis", "basis_value", "tied_extra", "tied"),
+        "contested-charges",
+    )
+    used = used_bases(contested)
+    if not used:
+        return contested.select(*CHARGE, F.lit(0).cast("bigint").alias("cut_position"))
+    lines = stacked_positions(targets, used)
+    side = F.broadcast(contested) if is_small(contested) else contested
+    rivals = lines.join(side, ["scope", "allocation_basis", "basis_value"])
+    if contested.agg(F.max("tied")).first()[0] <= CUT_POINTS:
+        place = F.row_number().over(in_charge.orderBy("spot"))
+        return rivals.withColumn("place", place).where(F.col("place") == F.col("tied_extra")).select(
+            *CHARGE, F.col("spot").alias("cut_position")
+        )
     limits = contested.select(*CHARGE, "tied_extra").distinct()
-    searched = weighted_cut(
+    rivals = rivals.select(*CHARGE, "spot", F.lit(1).alias("one"))
+    return weighted_cut(
         rivals, CHARGE, "spot", "one", limits, "tied_extra", "cut_position", "passed"
-    ).join(cut.select(*CHARGE, "cut_rest"), CHARGE)
-    return direct.distinct().unionByName(searched.select(*CHARGE, "cut_rest", "cut_position"))
+    ).select(*CHARGE, "cut_position")
 
 
-def stacked_positions(targets: DataFrame) -> DataFrame:
+def stacked_positions(
+    targets: DataFrame, used: list[tuple[str, bool]], by: list[str] = []
+) -> DataFrame:
     """Target positions by scope, basis and value, for looking up ties."""
     entries = [
         F.struct(
-            scope.alias("scope"),
+            (F.lit(EVERYWHERE) if everywhere else F.col("warehouse_id")).alias("scope"),
             F.lit(b).alias("allocation_basis"),
             F.coalesce(F.col(b), F.lit(0.0)).alias("basis_value"),
-            spot.alias("spot"),
-        )
-        for b in MEASURED
-        for scope, spot in (
-            (F.col("warehouse_id"), F.col("position")),
-            (F.lit(EVERYWHERE), F.col("overall_position")),
+            F.col("overall_position" if everywhere else "position").alias("spot"),
         )
+        for b, everywhere in used or [(MEASURED[0], True)]
     ]
-    return targets.select(F.explode(F.array(*entries)).alias("e")).select("e.*")
+    targets = targets if used else targets.limit(0)
+    return targets.select(*by, F.explode(F.array(*entries)).alias("e")).select(*by, "e.*")
+
+
+@dataclass(frozen=True)
+class Spread:
+    """The allocation as factors: nothing in it has a row per charge and target.
+
+    ``charges``: a row per allocated charge with its scope, basis, the scope's totals, and the cut-off
+    (NULL where no target gets more than its floor). ``parts``: a row per charge and distinct basis
+    value, with the targets of that value, what each gets, and whether a tie is open among them.
+    ``targets``: a row per shipment line with its basis values and positions. ``factor``: rounding
+    units per currency unit.
+    """
+
+    charges: DataFrame
+    parts: DataFrame
+    targets: DataFrame
+    factor: int
+
+
+def spread_charges(
+    charge: DataFrame,
+    exchange_rate: DataFrame,
+    shipment: DataFrame,
+    decimals: int = config.ALLOCATION_DECIMALS,
+) -> Spread:
+    """Decide, per charge, what each of its targets gets."""
+    factor = 10**decimals
+    lines = allocation_targets(shipment)
+    with ThreadPoolExecutor(1) as beside:
+        # Nothing before the ties needs positions, so targets are numbered meanwhile.
+        numbering = beside.submit(
+            inheritable_thread_target(charge.sparkSession)(
+                lambda: staged(numbered_targets(lines), "allocation-targets")
+            )
+        )
+        charges = staged(
+            scoped_charges(charge, exchange_rate, scope_totals(lines)).where(
+                F.col("allocation_basis").isNotNull()
+            ),
+            "scoped-charges",
+        )
+        placed = charges.where(F.col("scope").isNotNull())
+        counts = value_counts(lines, used_bases(placed))
+        # The windows of the cut-off read what was stored, not the join above it.
+        parts = staged(charge_parts(placed, counts, factor), "charge-parts")
+        parts = staged(cut_parts(parts, factor), "cut-parts")
+        targets = numbering.result()
+    return Spread(*located(charges, parts, targets), targets, factor)
+
+
+def located(charges: DataFrame, parts: DataFrame, targets: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``charges`` and ``parts`` with the position up to which tied targets get one unit more."""
+    searched = staged(cut_positions(parts, targets), "cut-positions")
+    tied = F.col("rest") == F.col("cut_rest")
+    constant = F.col("allocation_basis").isin(CONSTANT)
+    # A constant basis ties all targets of the scope; without a search, all tied ones get a unit.
+    last = F.when(constant, F.col("tied_extra")).otherwise(F.coalesce("cut_position", F.lit(ALL_TIED)))
+    side = F.broadcast(searched) if is_small(searched) else searched
+    parts = (
+        parts.join(side, CHARGE, "left")
+        .withColumn("cut_position", F.when(F.col("cut_rest").isNotNull(), last))
+        .withColumn("open_tie", tied & (F.col("cut_position") < ALL_TIED))
+        .withColumn("units", F.col("floor") + F.when(
+            (F.col("rest") > F.col("cut_rest")) | (tied & (F.col("cut_position") == ALL_TIED)), 1
+        ).otherwise(0))
+        .drop("minus_rest", "tied_extra")
+    )
+    cuts = parts.groupBy(*CHARGE).agg(
+        F.max("cut_rest").alias("cut_rest"), F.max("cut_position").alias("cut_position")
+    )
+    return staged(charges.join(cuts, CHARGE, "left"), "charge-factors"), parts
 
 
 def allocate_charges(
@@ -358,26 +462,28 @@ def allocate_charges(
     slices: int | None = None,
 ) -> DataFrame:
     """One row per charge and target shipment line, adding up to the rounded charge."""
-    factor = 10**decimals
-    targets = staged(numbered_targets(allocation_targets(shipment)), "allocation-targets")
-    charges = staged(
-        scoped_charges(charge, exchange_rate, scope_totals(targets)).where(
-            F.col("allocation_basis").isNotNull()
-        ),
-        "scoped-charges",
-    )
-    placed = charges.where(F.col("scope").isNotNull())
-    parts = staged(charge_parts(placed, value_counts(targets), factor), "charge-parts")
-    cutoffs = staged(charge_cutoffs(parts, targets, factor), "charge-cutoffs")
+    return expanded(spread_charges(charge, exchange_rate, shipment, decimals), slices)
+
+
+def _units(value: Column, factor: int, spot: Column) -> Column:
+    """Rounding units that a target of this basis value and position gets."""
+    parts = _floor_and_rest(value, factor)
+    rest, cut = parts["rest"], F.col("cut_rest")
+    bumped = (rest > cut) | ((rest == cut) & (spot <= F.col("cut_position")))
+    return parts["floor"] + F.when(bumped, F.lit(1)).otherwise(F.lit(0))
+
+
+def expanded(spread: Spread, slices: int | None = None) -> DataFrame:
+    """The allocation as rows, one per charge and target."""
+    targets, factor = spread.targets, spread.factor
+    placed = spread.charges.where(F.col("scope").isNotNull())
     # Charges are few and shipments many: as long as a count proves it, the charges are
     # broadcast and no shipment moves. Otherwise each charge is repeated per slice, so that one
     # warehouse's shipments, and a charge on all of them, spread over many tasks.
     few = slices is None and is_small(placed)
     slices = 1 if few else slices or SLICES
-    ready = (
-        placed.drop("warehouse_id", "channel_store_id")
-        .join(cutoffs, CHARGE, "left")
-        .withColumn("slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))))
+    ready = placed.drop("warehouse_id", "channel_store_id").withColumn(
+        "slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1)))
     )
     side = F.broadcast if few else (lambda df: df)
     sliced = targets.withColumn(
@@ -394,29 +500,252 @@ def allocate_charges(
     pairs = local.unionByName(wide).withColumn(
         "basis_value", _by_basis(lambda b: F.coalesce(F.col(b), F.lit(0.0)))
     )
-    rest, cut = F.col("rest"), F.col("cut_rest")
-    bumped = (rest > cut) | ((rest == cut) & (F.col("spot") <= F.col("cut_position")))
-    units = F.col("floor") + F.when(bumped, F.lit(1)).otherwise(F.lit(0))
-    spread = pairs.withColumns(_floor_and_rest(F.col("basis_value"), factor)).withColumn(
-        "allocated_amount", units.cast("double") / F.lit(float(factor))
+    units = _units(F.col("basis_value"), factor, F.col("spot"))
+    rows = pairs.withColumn("allocated_amount", units.cast("double") / F.lit(float(factor)))
+    krw = F.col("allocated_amount") * F.col("rate")
+    return (
+        rows.unionByName(whole_charges(spread), allowMissingColumns=True)
+        .withColumn("allocated_amount_krw", krw)
+        .select(*COLUMNS)
     )
-    whole = charges.where(F.col("scope").isNull()).withColumns(
+
+
+def expansion_sql(charges: str, targets: str, factor: int) -> str:
+    """``expanded`` as SQL over the stored factors, for a view: the tables hold a row per charge and
+    a row per target, and the view's plan is the join of both where it is read."""
+    value = "CASE allocation_basis " + " ".join(
+        f"WHEN '{b}' THEN coalesce(t.{b}, 0D)" for b in BASES
+    ) + " END"
+    share_of_total = f"CASE WHEN total_basis = 0 THEN amount / targets ELSE basis_value / total_basis * amount END * {factor}D"
+    mart_columns = ", ".join(COLUMNS[:COLUMNS.index("allocated_amount")])
+    target = "t.item_id, t.warehouse_id, t.channel_store_id, t.lot_id"
+    slice_of = f"pmod(xxhash64(t.shipment_id, t.item_id, t.lot_id), {SLICES})"
+    of_charge = ("c.period, c.charge_type, c.charge_domain, c.cost_stage, c.invoice_no, c.invoice_line_no, "
+                 "c.allocation_basis, c.currency, c.capitalizable_flag, c.amount, c.targets, "
+                 "c.total_basis, c.rate, c.cut_rest, c.cut_position")
+    last = "allocated_amount, allocated_amount * rate AS allocated_amount_krw, currency, capitalizable_flag"
+    return f"""
+        WITH sliced AS (
+            SELECT *, explode(sequence(0, {SLICES - 1})) AS slice FROM {charges} WHERE scope IS NOT NULL
+        ), pairs AS (
+            SELECT {of_charge}, {target}, t.position AS spot, {value} AS basis_value
+            FROM {targets} t JOIN sliced c ON c.scope = t.warehouse_id AND c.slice = {slice_of}
+            UNION ALL
+            SELECT {of_charge}, {target}, t.overall_position AS spot, {value} AS basis_value
+            FROM {targets} t JOIN sliced c ON c.slice = {slice_of} WHERE c.scope = '{EVERYWHERE}'
+        ), shares AS (
+            SELECT *, {share_of_total} AS raw FROM pairs
+        ), rounded AS (
+            SELECT *, CAST(floor(raw) + CASE
+                WHEN raw - floor(raw) > cut_rest
+                     OR (raw - floor(raw) = cut_rest AND spot <= cut_position) THEN 1 ELSE 0
+                END AS DOUBLE) / {factor}D AS allocated_amount
+            FROM shares
+        ), whole AS (
+            SELECT *, bround(amount * {factor}D) / {factor}D AS allocated_amount
+            FROM {charges} WHERE scope IS NULL
+        )
+        SELECT {mart_columns}, {last} FROM rounded
+        UNION ALL
+        SELECT period, charge_type, charge_domain, cost_stage, invoice_no, invoice_line_no,
+               'UNALLOCATED', coalesce(warehouse_id, 'UNKNOWN'), coalesce(channel_store_id, 'UNKNOWN'),
+               '{config.NO_LOT}', allocation_basis, 1D, {last}
+        FROM whole"""
+
+
+def whole_charges(spread: Spread) -> DataFrame:
+    """Charges without any target, each on one placeholder."""
+    units = _whole_units(spread.factor)
+    return spread.charges.where(F.col("scope").isNull()).withColumns(
         {
             "item_id": F.lit("UNALLOCATED"),
             "warehouse_id": F.coalesce("warehouse_id", F.lit("UNKNOWN")),
             "channel_store_id": F.coalesce("channel_store_id", F.lit("UNKNOWN")),
             "lot_id": F.lit(config.NO_LOT),
             "basis_value": F.lit(1.0),
-            "allocated_amount": F.bround(F.col("amount") * F.lit(float(factor)))
-            / F.lit(float(factor)),
+            "allocated_amount": units / F.lit(float(spread.factor)),
         }
     )
-    krw = F.col("allocated_amount") * F.col("rate")
+
+
+def _whole_units(factor: int) -> Column:
+    return F.bround(F.col("amount") * F.lit(float(factor)))
+
+
+def allocated_sums(spread: Spread, charge_keys: list[str], target_keys: list[str]) -> DataFrame:
+    """``charge_keys`` x ``target_keys``: number of targets and their amounts, from the factors.
+
+    ``target_keys`` are columns of (item_id, channel_store_id), or none for sums over all targets.
+    Charges of equal keys, scope and rate are added up before they meet targets.
+    """
+    factor, targets = spread.factor, spread.targets
+    named = spread.charges.select(*CHARGE, *_new([*charge_keys, "rate"]))
+    parts = spread.parts.join(F.broadcast(named) if is_small(named) else named, CHARGE)
+    card = [*charge_keys, "rate"]
+    constant = F.col("allocation_basis").isin(CONSTANT)
+    open_ties = parts.where(F.col("open_tie"))
+
+    # What targets of a value, at a place or in a tie get from all charges of a card together.
+    prices = (
+        _value_prices(parts.where(~constant), card)
+        .unionByName(bucketed(_steps(parts.where(constant), card), "place"))
+        .unionByName(_tie_prices(open_ties, card))
+    )
+    # One look at the parts: the bases to count, and a bound on the number of prices.
+    basis = F.when(~constant, F.struct("allocation_basis", F.col("scope") == EVERYWHERE))
+    pieces = F.when(constant, 2 * (F.col("targets") / BUCKET + 2)).otherwise(F.lit(2.0))
+    about = spread.parts.agg(
+        F.collect_set(basis), F.collect_set(F.when(F.col("open_tie"), basis)), F.sum(pieces)
+    ).first()
+    used, tied = ([tuple(b) for b in about[i]] for i in (0, 1))
+    entries = (
+        _value_entries(targets, used, target_keys)
+        .unionByName(bucketed(_runs(targets, target_keys), "place"))
+        .unionByName(_tie_entries(open_ties, targets, tied, target_keys))
+    )
+    if (about[2] or 0) <= BROADCAST_ROWS:
+        # Then no product of prices and targets is shuffled: targets lie where their sums are made.
+        prices = F.broadcast(prices)
+        entries = entries.repartition(*target_keys) if target_keys else entries
+    begin = F.greatest("__lo", "lo")
+    n = F.least("__hi", "hi") - begin
+    once = (F.col("kind") != "place") | (F.floor(begin / BUCKET) == F.col("at"))
+    amount = F.col("units").cast("double") / F.lit(float(factor))
+    spread_out = (
+        entries.withColumnsRenamed({"lo": "__lo", "hi": "__hi"})
+        .join(prices, ["scope", "kind", "at"])
+        .where((n > 0) & once)
+        .select(*card, *target_keys, (n * F.col("charges")).alias("targets"), (n * F.col("units")).alias("units"))
+    )
+    # Only with no shipment at all is a charge whole, so no key is on both sides.
+    whole = whole_charges(spread).select(
+        *card, *target_keys, F.lit(1).cast("bigint").alias("targets"),
+        _whole_units(factor).cast("bigint").alias("units"),
+    )
+    return reduce(DataFrame.unionByName, [
+        side.groupBy(*charge_keys, *target_keys).agg(
+            F.sum("targets").alias("targets"), F.sum(amount).alias("allocated_amount"),
+            F.sum(amount * F.col("rate")).alias("allocated_amount_krw"),
+        )
+        for side in (spread_out, whole)
+    ])
+
+
+def _value_prices(parts: DataFrame, card: list[str]) -> DataFrame:
+    return parts.groupBy(
+        *card, "scope", F.col("allocation_basis").alias("kind"), F.col("basis_value").alias("at")
+    ).agg(F.sum("units").alias("units"), F.count(F.lit(1)).alias("charges")).withColumns(any_count())
+
+
+def _value_entries(targets: DataFrame, used: list[tuple[str, bool]], target_keys: list[str]) -> DataFrame:
+    """How many targets have a value: [0, n)."""
+    return value_counts(targets, used, target_keys).select(
+        *target_keys, "scope", F.col("allocation_basis").alias("kind"), F.col("basis_value").alias("at"),
+        F.lit(0).cast("bigint").alias("lo"), F.col("n").alias("hi"),
+    )
+
+
+def any_count() -> dict[str, Column]:
+    """An interval that holds every [0, n)."""
+    return {"lo": F.lit(0).cast("bigint"), "hi": F.lit(2**62).cast("bigint")}
+
+
+def bucketed(spans: DataFrame, kind: str) -> DataFrame:
+    """Intervals, once for each bucket of positions that they meet."""
+    first, last = (F.floor(c / BUCKET).cast("bigint") for c in (F.col("lo"), F.col("hi") - 1))
+    return spans.where(F.col("lo") < F.col("hi")).select(
+        "*", F.lit(kind).alias("kind"), F.explode(F.sequence(first, last).cast("array<double>")).alias("at")
+    )
+
+
+def _tie(of: list[str]) -> Column:
+    return F.concat_ws("/", F.lit("tie"), *of)
+
+
+def _tie_prices(ties: DataFrame, card: list[str]) -> DataFrame:
+    """One unit more, on top of what the value gets."""
+    return ties.select(*CHARGE, *_new(card), "scope").distinct().select(
+        *card, "scope", _tie(CHARGE).alias("kind"), F.lit(0.0).alias("at"),
+        F.lit(1).cast("bigint").alias("units"), F.lit(0).cast("bigint").alias("charges"),
+    ).withColumns(any_count())
+
+
+def _tie_entries(
+    ties: DataFrame, targets: DataFrame, used: list[tuple[str, bool]], target_keys: list[str]
+) -> DataFrame:
+    """How many targets a contested tie reaches, counted line by line."""
+    ties = ties.select(*CHARGE, "scope", "allocation_basis", "basis_value", "cut_position")
+    lines = stacked_positions(targets, used, target_keys)
     return (
-        spread.unionByName(whole, allowMissingColumns=True)
-        .withColumn("allocated_amount_krw", krw)
-        .select(*COLUMNS)
+        lines.join(ties, ["scope", "allocation_basis", "basis_value"])
+        .where(F.col("spot") <= F.col("cut_position"))
+        .groupBy(*target_keys, "scope", _tie(CHARGE).alias("kind"))
+        .agg(F.count(F.lit(1)).alias("hi"))
+        .select(*target_keys, "scope", "kind", F.lit(0.0).alias("at"),
+                F.lit(0).cast("bigint").alias("lo"), "hi")
+    )
+
+
+def _new(columns: list[str]) -> list[str]:
+    """Columns that the parts of a charge do not have yet."""
+    return [c for c in columns if c not in (*CHARGE, "scope", "allocation_basis", "amount", "targets")]
+
+
+def _steps(parts: DataFrame, card: list[str]) -> DataFrame:
+    """Per scope and card of charges on constant bases: [lo, hi) of positions from 0, and what all of
+    its charges together give each target there."""
+    cut = F.least(F.coalesce("cut_position", F.lit(0)), F.col("targets"))
+    knots = parts.groupBy("scope", *card, "targets", cut.alias("cut")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("floor").alias("floor")
     )
+    # A card has as many knots as charges at most; shipments are not among them.
+    whole = Window.partitionBy("scope", *card)
+    onward = whole.orderBy("cut").rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    before = whole.orderBy("cut")
+    cuts = knots.withColumns(
+        {
+            "lo": F.coalesce(F.lag("cut").over(before), F.lit(0)).cast("bigint"),
+            "more": F.sum("n").over(onward),
+            "floor": F.sum("floor").over(whole),
+            "charges": F.sum("n").over(whole),
+            "last": F.max("cut").over(whole),
+        }
+    )
+    # Below a cut, the charges cut there or further on give one more; beyond the last, none does.
+    ends = F.array(
+        F.struct(F.col("lo"), F.col("cut").cast("bigint").alias("hi"), "more"),
+        F.struct(
+            F.col("cut").cast("bigint").alias("lo"),
+            F.when(F.col("cut") == F.col("last"), F.col("targets")).otherwise(F.col("cut"))
+            .cast("bigint").alias("hi"),
+            F.lit(0).cast("bigint").alias("more"),
+        ),
+    )
+    return cuts.select("scope", *card, "floor", "charges", F.explode(ends).alias("e")).select(
+        "scope", *card, "e.lo", "e.hi", "charges", (F.col("floor") + F.col("e.more")).alias("units")
+    )
+
+
+def _runs(targets: DataFrame, target_keys: list[str]) -> DataFrame:
+    """Targets that lie side by side, as [lo, hi) of positions from 0, per scope."""
+    side_by_side = ["warehouse_id", *(["channel_store_id", "item_id"] if target_keys else [])]
+    runs = targets.groupBy(*side_by_side).agg(
+        F.count(F.lit(1)).alias("n"), F.min("position").alias("own"),
+        F.min("overall_position").alias("overall"),
+    )
+    spots = F.array(
+        F.struct(F.col("warehouse_id").alias("scope"), (F.col("own") - 1).alias("lo")),
+        F.struct(F.lit(EVERYWHERE).alias("scope"), (F.col("overall") - 1).alias("lo")),
+    )
+    return runs.select(*target_keys, "n", F.explode(spots).alias("s")).select(
+        *target_keys, "s.scope", "s.lo", (F.col("s.lo") + F.col("n")).alias("hi")
+    )
+
+
+def spread_totals(spread: Spread) -> DataFrame:
+    """What stored factors give each charge in sum: the columns of ``charge_totals``."""
+    keys = ["period", *CHARGE, "charge_domain", "cost_stage", "currency", "capitalizable_flag"]
+    return allocated_sums(spread, keys, [])
 
 
 def largest_remainder(amounts: DataFrame, group: list[str], order: str, raw: str, total: str,

@@ -86,9 +86,14 @@ class Marts:
 
     # Allocation
     @cached_property
-    def mart_charge_allocated(self) -> DataFrame:
+    def charge_spread(self) -> allocation.Spread:
+        """The allocation as factors, made once for the mart and for sums of it."""
         f = self.facts
-        return allocation.allocate_charges(f.charge, f.exchange_rate, f.shipment)
+        return allocation.spread_charges(f.charge, f.exchange_rate, f.shipment)
+
+    @cached_property
+    def mart_charge_allocated(self) -> DataFrame:
+        return allocation.expanded(self.charge_spread)
 
     @cached_property
     def charge_totals(self) -> DataFrame:
@@ -115,8 +120,11 @@ class Marts:
 
     @cached_property
     def mart_pnl_variable_cost(self) -> DataFrame:
-        costs = pnl.variable_cost(self.mart_charge_allocated)
-        return self.keep(costs, "mart_pnl_variable_cost")
+        sums = allocation.allocated_sums(
+            self.charge_spread, ["period", "charge_domain", "charge_type"],
+            ["item_id", "channel_store_id"],
+        )
+        return self.keep(pnl.variable_cost(sums), "mart_pnl_variable_cost")
 
     @cached_property
     def mart_pnl_contribution(self) -> DataFrame:

@@ -66,9 +66,13 @@ def build_marts(warehouse: Warehouse, as_of_date: dt.date) -> dict[str, str]:
                 warehouse.replace("mart", name, mart)
                 outcome[name] = "ok"
                 continue
+            if name == "mart_charge_allocated":
+                store_allocation(warehouse, marts)
+                outcome[name] = "ok"
+                continue
             if name == "mart_reco_charges_invoice_vs_allocated":
-                # The rows as stored are what has to add up, not what they should be.
-                marts.charge_totals = marts.mart_charge_allocated
+                # The factors as stored are what has to add up, not what they should be.
+                marts.charge_totals = allocation.spread_totals(marts.charge_spread)
             mart = getattr(marts, name)
             warehouse.replace("mart", name, mart.orderBy(*SORTED[name]) if name in SORTED else mart)
             # Later marts read the stored table instead of repeating its plan.
@@ -84,6 +88,23 @@ def build_marts(warehouse: Warehouse, as_of_date: dt.date) -> dict[str, str]:
     return outcome
 
 
+def store_allocation(warehouse: Warehouse, marts: Marts) -> None:
+    """Store the allocation as a row per charge, per charge and distinct basis value, and per target.
+    The mart is a view of these, so what it takes on disk does not grow with charges x shipments."""
+    made = marts.charge_spread
+    tables = {"mart_charge_factor": made.charges, "mart_charge_part": made.parts,
+              "mart_charge_target": made.targets}
+    for table, rows in tables.items():
+        warehouse.replace("mart", table, rows)
+    charges, parts, targets = (warehouse.name("mart", t) for t in tables)
+    warehouse.replace_view(
+        "mart", "mart_charge_allocated", allocation.expansion_sql(charges, targets, made.factor)
+    )
+    stored = map(warehouse.spark.table, (charges, parts, targets))
+    marts.charge_spread = allocation.Spread(*stored, made.factor)
+    marts.mart_charge_allocated = warehouse.read("mart", "mart_charge_allocated")
+
+
 def add_issues(warehouse: Warehouse, issues: DataFrame) -> None:
     fresh = expiry.new_issues(issues, warehouse.issue_log())
     warehouse.append(
@@ -107,8 +128,8 @@ def run_pipeline(warehouse: Warehouse, inbox: str, as_of_date: dt.date,
     except Exception as e:
         finish_batch(warehouse, batch_id, "failed", error=str(e))
         raise
-    rows = sum(f["row_count"] for f in files)
-    finish_batch(warehouse, batch_id, "dry_run" if dry_run else "success", len(files), rows)
+    n, rows = files.agg(F.count(F.lit(1)), F.coalesce(F.sum("row_count"), F.lit(0))).first()
+    finish_batch(warehouse, batch_id, "dry_run" if dry_run else "success", n, rows)
     return {"batch_id": batch_id, "files": files, "marts": marts}
 
 

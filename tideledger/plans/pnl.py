@@ -129,19 +129,15 @@ def gross_margin(revenue_mart: DataFrame, cogs_mart: DataFrame) -> DataFrame:
     )
 
 
-def variable_cost(allocated: DataFrame) -> DataFrame:
-    """Allocated charges summed per grain, domain and type."""
-    return (
-        allocated.groupBy(*GRAIN, "charge_domain", "charge_type")
-        .agg(F.sum("allocated_amount_krw").alias("allocated_amount_krw"))
-        .select(
-            "period",
-            F.coalesce("item_id", F.lit("ALL")).alias("item_id"),
-            F.coalesce("channel_store_id", F.lit("ALL")).alias("channel_store_id"),
-            F.lit("KR").alias("country"),
-            "charge_domain", "charge_type", "allocated_amount_krw",
-            F.lit("ACTUAL").alias("coverage_flag"),
-        )
+def variable_cost(sums: DataFrame) -> DataFrame:
+    """Allocated charges per grain, domain and type, from their sums."""
+    return sums.select(
+        "period",
+        F.coalesce("item_id", F.lit("ALL")).alias("item_id"),
+        F.coalesce("channel_store_id", F.lit("ALL")).alias("channel_store_id"),
+        F.lit("KR").alias("country"),
+        "charge_domain", "charge_type", "allocated_amount_krw",
+        F.lit("ACTUAL").alias("coverage_flag"),
     )
 
 

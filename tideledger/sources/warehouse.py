@@ -8,6 +8,7 @@ of a batch or a period is its latest entry.
 
 from __future__ import annotations
 
+import copy
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -58,6 +59,18 @@ class Warehouse:
                 f"CREATE DATABASE IF NOT EXISTS {prefix}{layer} LOCATION '{root}/{layer}'"
             )
 
+    def in_session(self, spark: SparkSession) -> Warehouse:
+        """The same tables, read and written through another session of the application."""
+        other = copy.copy(self)
+        other.spark = spark
+        return other
+
+    def refresh(self) -> None:
+        """Forget which files tables had, after another session wrote to them."""
+        for layer in LAYERS:
+            for t in self.spark.catalog.listTables(f"{self.prefix}{layer}"):
+                self.spark.catalog.refreshTable(f"{self.prefix}{layer}.{t.name}")
+
     def name(self, layer: str, table: str) -> str:
         return f"{self.prefix}{layer}.{table}"
 
@@ -77,6 +90,13 @@ class Warehouse:
         """Full refresh of a mart or dimension."""
         rows.write.mode("overwrite").format("parquet").saveAsTable(self.name(layer, table))
 
+    def replace_view(self, layer: str, view: str, query: str) -> None:
+        """A mart that is computed where it is read; takes the place of a table of that name."""
+        name = self.name(layer, view)
+        if self.exists(layer, view) and self.spark.catalog.getTable(name).tableType != "VIEW":
+            self.spark.sql(f"DROP TABLE {name}")
+        self.spark.sql(f"CREATE OR REPLACE VIEW {name} AS {query}")
+
     # ---- facts ------------------------------------------------------------------------
 
     def fact(self, table: str) -> DataFrame:
