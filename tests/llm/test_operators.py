@@ -237,6 +237,15 @@ def test_quality_rejects_depleted_documents(spark):
     assert all(got[100 + i] == (False, True, 70) for i in range(40))
 
 
+def test_equal_rows_do_not_share_a_shard(spark):
+    one = docs(spark, (None, "a b c"))
+    many = spark.range(4000).crossJoin(one).drop("id").repartition(4)
+    out = packing.packed(many, shard_rows=500).collect()
+    assert len(out) == 4000
+    shards = [r.bin_id.split("-")[0] for r in out]
+    assert max(shards.count(s) for s in {*shards}) < 800
+
+
 def test_planted_passages_are_found(spark):
     passage = prose(77, 60, 3000)
     rows = [(i, " ".join([prose(500 + i, 80, 3000), passage, prose(900 + i, 70, 3000)])) for i in range(12)]
@@ -360,6 +369,25 @@ def test_nearest_equals_brute_force_where_all_leaves_open(spark):
     assert len(got) == 15 * 20
 
 
+@pytest.mark.parametrize("n,dim", [(12_000, 64), (5_000, 8)])
+def test_production_parameters_reach_the_recall(spark, n, dim):
+    rng = np.random.default_rng(n)
+    data = rng.normal(size=(n, dim))
+    data = (data / np.linalg.norm(data, axis=1)[:, None]).astype(np.float32)
+    table = spark.createDataFrame(((i, v.tolist()) for i, v in enumerate(data)), "vec_id long, embedding array<float>")
+    got = {}
+    asks = F.col("vec_id") % 100 == 0
+    for r in neighbours.nearest(table.repartition(4), queries=asks).collect():
+        got.setdefault(r.query_id, []).append(r.vec_id)
+    wide, hits = data.astype(float), 0
+    for q in range(0, n, 100):
+        score = wide @ wide[q]
+        score[q] = -9
+        hits += len({*np.argsort(-score)[:20].tolist()} & {*got[q]})
+        assert len(got[q]) == 20
+    assert hits >= 0.9 * 20 * (n // 100)
+
+
 def plain_best_fit(items, capacity):
     bins, out = [], []
     for need, source, cluster in items:

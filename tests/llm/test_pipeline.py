@@ -31,9 +31,25 @@ def test_near_copies_leave_one_of_each_group(spark):
     rows = docs(spark, (1, base), (2, base), (3, edited(base, 1, 2)), (4, prose(8, 90)), (5, ""), (6, None))
     out = corpus_pipeline.without_near_copies(spark, rows, FOLDER)
     assert sorted(r.doc_id for r in out.collect()) == [1, 4, 5, 6]
-    # A null id is no key to drop rows by: such rows stay.
-    more = rows.union(rows.limit(1).withColumn("doc_id", F.lit(None).cast("long")))
-    assert corpus_pipeline.without_near_copies(spark, more, FOLDER).where("doc_id is null").count() == 1
+    # Rows are dropped, not ids: a copy without an id goes, another text under a copy's id stays.
+    more = rows.union(docs(spark, (None, base), (2, prose(9, 80)), (None, prose(10, 80)), (4, prose(8, 90))))
+    out = corpus_pipeline.without_near_copies(spark, more.withColumn("__row", F.lit(1)), FOLDER)
+    assert out.columns == [*rows.columns, "__row"]
+    got = sorted(((r.doc_id, r.text) for r in out.collect()), key=repr)
+    assert got == sorted([(1, base), (2, prose(9, 80)), (4, prose(8, 90)), (5, ""), (6, None),
+                          (None, prose(10, 80))], key=repr)
+    assert corpus_pipeline.without_near_copies(spark, rows.limit(0), FOLDER).count() == 0
+
+
+def test_near_copies_are_no_boilerplate(spark):
+    shared, foot = [prose(40 + i, 14, 3000) for i in range(9)], "all rights reserved"
+    rows = [(i, "\n".join([prose(300 + i, 14, 3000), *shared])) for i in range(12)]
+    rows += [(100 + i, "\n".join([*(prose(900 + 7 * i + n, 14, 3000) for n in range(4)), foot])) for i in range(88)]
+    lean = corpus_pipeline.without_boilerplate(spark, docs(spark, *rows), FOLDER)
+    out = {r.doc_id: r.text for r in corpus_pipeline.without_near_copies(spark, lean, FOLDER).collect()}
+    kept = [t for i, t in out.items() if i < 100]
+    assert len(kept) == 1 and all(line in kept[0] for line in shared)
+    assert all(foot not in out[100 + i] for i in range(88)) and len(out) == 89
 
 
 def test_one_of_a_group_of_copies_keeps_its_text(spark):

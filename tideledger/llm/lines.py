@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,6 +11,8 @@ from tideledger.llm.text import prepared
 from tideledger.operators.staging import staged
 
 SPACE = "[\\x20\\x09-\\x0D]+"
+# Hashes that order the lines of a page.
+MARKS = (11, 23, 47)
 RATIO = 0.05
 MIN_PAGES = 5
 
@@ -26,14 +30,42 @@ def line_keys(text: Column) -> Column:
     )
 
 
-def page_counts(pages: DataFrame) -> DataFrame:
-    """Pages per host and line from ``pages(host, keys)``: host, key, n_pages, n_host."""
-    lines = (
-        pages.select("host", F.explode(F.array_distinct("keys")).alias("key"))
-        .where(F.col("key").isNotNull())
-        .groupBy("host", "key")
-        .agg(F.count("*").alias("n_pages"))
+def near_copy_marks(keys: Column) -> Column:
+    """Three marks of a page: its smallest line under three hashes. Pages that share most of their
+    lines agree in most marks, pages that share only boilerplate seldom do."""
+    lines = F.filter(F.array_distinct(keys), lambda k: k.isNotNull())
+    return F.array(*[
+        F.array_min(F.transform(lines, lambda k: F.xxhash64(k, F.lit(seed)))) for seed in MARKS  # noqa: B023
+    ])
+
+
+def page_counts(pages: DataFrame, near_copies_once: bool = False) -> DataFrame:
+    """Pages per host and line from ``pages(host, keys)``: host, key, n_pages, n_host.
+
+    With ``near_copies_once`` the pages of a line with one mark count as one; of the three marks the
+    one counts under which the line has the fewest.
+    """
+    keyed = pages
+    marks = []
+    if near_copies_once:
+        keyed = pages.withColumn("marks", near_copy_marks(F.col("keys")))
+        marks = [F.col("marks")[i].alias(f"mark{i}") for i in range(len(MARKS))]
+    lines = keyed.select("host", *marks, F.explode(F.array_distinct("keys")).alias("key")).where(
+        F.col("key").isNotNull()
     )
+    if near_copies_once:
+        # One row per line and mark first, so that no set of marks grows with the pages of a line.
+        counted = [
+            lines.select("host", "key", F.lit(i).alias("i"), F.col(f"mark{i}").alias("mark"))
+            for i in range(len(MARKS))
+        ]
+        lines = (
+            reduce(DataFrame.unionByName, counted).distinct()
+            .groupBy("host", "key", "i").agg(F.count("*").alias("n"))
+            .groupBy("host", "key").agg(F.min("n").alias("n_pages"))
+        )
+    else:
+        lines = lines.groupBy("host", "key").agg(F.count("*").alias("n_pages"))
     hosts = pages.groupBy("host").agg(F.count("*").alias("n_host"))
     return lines.where(F.col("n_pages") > 1).join(
         hosts.withColumnRenamed("host", "of_host"), F.col("host").eqNullSafe(F.col("of_host"))
@@ -52,8 +84,9 @@ def drop_boilerplate(
 
     A line is boilerplate on a host if more than ``ratio`` of the host's pages hold it, and
     ``min_pages`` of them at least. Every row is a page, repeated rows too; with ``copies_once``
-    pages of a host with the same lines are one page, so that a content is not boilerplate because
-    it has copies. A line counts once for a page. Lines are compared in normalised form and kept as they were written. Lines without a
+    pages of a host with the same lines are one page, and pages that agree in a mark
+    (``near_copy_marks``) count once for a line, so that a content is not boilerplate because it has
+    copies or near copies. An empty table gives an empty result. A line counts once for a page. Lines are compared in normalised form and kept as they were written. Lines without a
     word are never counted and always stay. Rows without a host form a host of their own. A null
     text has no lines (n_lines 0) and stays null; a text whose lines all go becomes empty. Other
     columns are left alone.
@@ -66,7 +99,7 @@ def drop_boilerplate(
     if copies_once:
         keyed = keyed.withColumn("content", F.xxhash64("keys")).dropDuplicates(["host", "content"]).drop("content")
     frequent = (
-        page_counts(keyed)
+        page_counts(keyed, copies_once)
         .where((F.col("n_pages") > ratio * F.col("n_host")) & (F.col("n_pages") >= min_pages))
         .groupBy("host")
         .agg(F.collect_list("key").alias("__boilerplate"))

@@ -126,8 +126,10 @@ def packed(
         F.coalesce(cluster.cast("string"), F.lit("")).alias("cluster"),
     )
     n_shards = -(-docs.count() // shard_rows) or 1
+    # Rows alike in all columns are dealt out by their place, or they would share a shard.
+    place = F.monotonically_increasing_id()
     sharded = items.withColumn(
-        "shard", F.pmod(F.xxhash64("doc_id", "cluster", "length"), F.lit(n_shards))
+        "shard", F.pmod(F.xxhash64("doc_id", "cluster", "length", place), F.lit(n_shards))
     )
     full = F.col("length").cast("long")
 
