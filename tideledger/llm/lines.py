@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,38 +29,45 @@ def line_keys(text: Column) -> Column:
 
 
 def near_copy_marks(keys: Column) -> Column:
-    """Three marks of a page: its smallest line under three hashes. Pages that share most of their
-    lines agree in most marks, pages that share only boilerplate seldom do."""
-    lines = F.filter(F.array_distinct(keys), lambda k: k.isNotNull())
-    return F.array(*[
-        F.array_min(F.transform(lines, lambda k: F.xxhash64(k, F.lit(seed)))) for seed in MARKS  # noqa: B023
-    ])
+    """The two smallest lines of a page under each of three hashes: what a page is known by where one
+    of its lines is looked at is the smallest of the others. Pages that share most of their lines
+    agree in that mostly, pages that share only boilerplate seldom."""
+
+    def two_smallest(seed: int) -> Column:
+        hashes = F.transform(
+            F.filter(F.array_distinct(keys), lambda k: k.isNotNull()), lambda k: F.xxhash64(k, F.lit(seed))
+        )
+        least = F.array_min(hashes)
+        return F.array(least, F.array_min(F.filter(hashes, lambda h: h != least)))
+
+    return F.array(*[two_smallest(seed) for seed in MARKS])
 
 
 def page_counts(pages: DataFrame, near_copies_once: bool = False) -> DataFrame:
     """Pages per host and line from ``pages(host, keys)``: host, key, n_pages, n_host.
 
-    With ``near_copies_once`` the pages of a line with one mark count as one; of the three marks the
-    one counts under which the line has the fewest.
+    With ``near_copies_once`` pages of a line count once if they agree in a mark
+    (``near_copy_marks``); of the counts under the three hashes the middle one is taken.
     """
-    keyed = pages
-    marks = []
-    if near_copies_once:
-        keyed = pages.withColumn("marks", near_copy_marks(F.col("keys")))
-        marks = [F.col("marks")[i].alias(f"mark{i}") for i in range(len(MARKS))]
-    lines = keyed.select("host", *marks, F.explode(F.array_distinct("keys")).alias("key")).where(
+    marks = [near_copy_marks(F.col("keys")).alias("marks")] if near_copies_once else []
+    lines = pages.select("host", *marks, F.explode(F.array_distinct("keys")).alias("key")).where(
         F.col("key").isNotNull()
     )
     if near_copies_once:
-        # One row per line and mark first, so that no set of marks grows with the pages of a line.
-        counted = [
-            lines.select("host", "key", F.lit(i).alias("i"), F.col(f"mark{i}").alias("mark"))
-            for i in range(len(MARKS))
+        others = [
+            F.struct(
+                F.lit(i).alias("i"),
+                F.when(F.col("marks")[i][0] == F.xxhash64("key", F.lit(seed)), F.col("marks")[i][1])
+                .otherwise(F.col("marks")[i][0]).alias("mark"),
+            )
+            for i, seed in enumerate(MARKS)
         ]
+        # One row per line and mark first, so that no set of marks grows with the pages of a line.
         lines = (
-            reduce(DataFrame.unionByName, counted).distinct()
-            .groupBy("host", "key", "i").agg(F.count("*").alias("n"))
-            .groupBy("host", "key").agg(F.min("n").alias("n_pages"))
+            lines.select("host", "key", F.explode(F.array(*others)).alias("other"))
+            .distinct()
+            .groupBy("host", "key", "other.i").agg(F.count("*").alias("n"))
+            .groupBy("host", "key").agg(F.array_sort(F.collect_list("n"))[1].alias("n_pages"))
         )
     else:
         lines = lines.groupBy("host", "key").agg(F.count("*").alias("n_pages"))
