@@ -145,6 +145,28 @@ def test_an_upsert_moves_a_row_between_months(box):
     assert rows(wh.order, "order_date") == [(day("2024-03-15"),), (day("2024-03-16"),)]
 
 
+def test_an_upsert_reads_the_months_that_may_hold_its_keys(box):
+    wh, inbox = box
+    head, line = ORDERS.splitlines()[0], "OMS,ORD-{i},1,2024-{m:02}-15,STORE-A,SKU-001,{q}"
+    lines = [line.format(i=i, m=i % 12 + 1, q=1) for i in range(240)]
+    put(inbox, a="\n".join([head, *lines]))
+    ingest(wh, str(inbox), 1)
+    mine = wh.spark.createDataFrame([(f"ORD-{i}", 1) for i in (2, 14, 26)], "channel_order_id string, line_no bigint")
+    assert wh.months_with_keys("fact_order", mine) == ["2024-03"]
+    several = wh.spark.createDataFrame([("ORD-2", 1), ("ORD-7", 1)], "channel_order_id string, line_no bigint")
+    assert wh.months_with_keys("fact_order", several) == ["2024-03", "2024-08"]
+    unknown = wh.spark.createDataFrame([("ORD-2", 9)], "channel_order_id string, line_no bigint")
+    assert wh.months_with_keys("fact_order", unknown) == []
+    # Keys move to another month, in which they are found from then on.
+    put(inbox, b="\n".join([head, line.format(i=2, m=6, q=5), line.format(i=900, m=6, q=5)]))
+    ingest(wh, str(inbox), 2)
+    assert wh.months_with_keys("fact_order", several) == ["2024-06", "2024-08"]
+    assert wh.order.count() == 241 and wh.order.where("qty_ordered = 5").count() == 2
+    wh.remove_batches("fact_order", [2])
+    assert wh.order.count() == 239
+    assert wh.months_with_keys("fact_order", several) == ["2024-08"]
+
+
 def test_dry_run_leaves_the_file_loadable(box):
     wh, inbox = box
     put(inbox, a=ORDERS)

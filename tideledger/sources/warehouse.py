@@ -23,6 +23,8 @@ from tideledger.sources.inbox import fact_schema
 
 LAYERS = ("raw", "core", "mart", "ops")
 MONTH = "event_month"
+# Bits of a month's key filter. A month of 8 million keys is read in vain for one key in nine.
+KEY_BITS = 1 << 26
 
 SCHEMAS = {
     "system_batch_log": "batch_id bigint, started_at timestamp, finished_at timestamp, "
@@ -116,14 +118,54 @@ class Warehouse:
         name = self.name("core", table)
         if not self.exists("core", table):
             rows.write.format("parquet").partitionBy(MONTH).saveAsTable(name)
+            self._store_filter(table, rows)
             return
         keys = list(config.CONTRACTS[table].key)
         stored = self.spark.table(name)
-        matched = stored.join(rows.select(*keys), keys, "left_semi").select(MONTH)
+        # Months whose filter knows none of the keys are not read at all.
+        possible = stored.where(F.col(MONTH).isin(self.months_with_keys(table, rows)))
+        matched = possible.join(rows.select(*keys), keys, "left_semi").select(MONTH)
         months = self._months(rows.select(MONTH).unionByName(matched))
         touched = stored.where(F.col(MONTH).isin(months))
         self._swap(table, upsert(touched, rows, keys), months)
 
+    # ---- key filters: which months may hold a key -------------------------------------------
+
+    def _filter_name(self, table: str) -> str:
+        return self.name("core", f"{table}_keys")
+
+    def _store_filter(self, table: str, rows: DataFrame) -> None:
+        """Replace the key filters of the months in ``rows``: a bitmap of key hashes per month, kept in
+        buckets of 32,768 bits that exist only where a bit is set."""
+        at = key_bit(list(config.CONTRACTS[table].key))
+        filters = rows.groupBy(F.bitmap_bucket_number(at).alias("bucket"), MONTH).agg(
+            F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("bits")
+        )
+        name = self._filter_name(table)
+        if not self.spark.catalog.tableExists(name):
+            filters.select("bucket", "bits", MONTH).write.format("parquet").partitionBy(MONTH).saveAsTable(name)
+            return
+        self.spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+        filters.select("bucket", "bits", MONTH).write.mode("overwrite").insertInto(name)
+        self.spark.catalog.refreshTable(name)
+
+    def months_with_keys(self, table: str, rows: DataFrame) -> list[str]:
+        """Months that may hold a key of ``rows``: all that do, and seldom another. Stored rows are
+        not read."""
+        name = self._filter_name(table)
+        if not self.spark.catalog.tableExists(name):
+            # A table of earlier versions: its filters are made once.
+            self._store_filter(table, self.spark.table(self.name("core", table)))
+        at = key_bit(list(config.CONTRACTS[table].key))
+        wanted = rows.select(
+            F.bitmap_bucket_number(at).alias("bucket"), F.bitmap_bit_position(at).alias("bit")
+        ).distinct()
+        byte = F.conv(F.hex(F.substring("bits", F.expr("cast(bit div 8 as int) + 1"), F.lit(1))), 16, 10)
+        is_set = byte.cast("int").bitwiseAND(F.expr("shiftleft(1, cast(bit % 8 as int))")) != 0
+        return self._months(
+            self.spark.table(name).join(wanted, "bucket").where(is_set).select(MONTH)
+        )
+
     def remove_batches(self, table: str, batch_ids: list[int]) -> None:
         if not self.exists("core", table):
             return
@@ -144,8 +186,10 @@ class Warehouse:
         kept = self._months(ready.select(MONTH))
         self.spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
         ready.select(*self.spark.table(name).columns).write.mode("overwrite").insertInto(name)
+        self._store_filter(table, ready)
         for month in set(months) - set(kept):
-            self.spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({MONTH}='{month}')")
+            for t in (name, self._filter_name(table)):
+                self.spark.sql(f"ALTER TABLE {t} DROP IF EXISTS PARTITION ({MONTH}='{month}')")
         self.spark.catalog.refreshTable(name)
 
     # ---- the facts by the names the marts use ------------------------------------------
@@ -200,12 +244,18 @@ class Warehouse:
             .select(F.lit(f"{layer}.{t.name}").alias("table_name"), "row_count")
             for layer in LAYERS
             for t in self.spark.catalog.listTables(f"{self.prefix}{layer}")
+            if not t.name.endswith("_keys")
         ]
         if not counts:
             return self.spark.createDataFrame([], "table_name string, row_count bigint")
         return reduce(DataFrame.unionByName, counts)
 
 
+def key_bit(keys: list[str]):
+    """The bit of a key in the filter of a month."""
+    return F.pmod(F.xxhash64(*keys), F.lit(KEY_BITS))
+
+
 def _latest(log: DataFrame, keys: list[str], at: str) -> DataFrame:
     whole = F.struct(*log.columns)
     return log.groupBy(*keys).agg(F.max_by(whole, F.col(at)).alias("r")).select("r.*")
