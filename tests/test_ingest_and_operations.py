@@ -1,4 +1,5 @@
 import tempfile
+from concurrent.futures import ThreadPoolExecutor
 from pathlib import Path
 
 import pytest
@@ -214,6 +215,16 @@ def test_period_close(box):
     assert status(ingest(wh, str(inbox), 2)) == {"a.csv": "success"}
 
 
+def test_concurrent_claims_get_ids_of_their_own(box):
+    wh, _ = box
+    with ThreadPoolExecutor(8) as pool:
+        numbers = list(pool.map(lambda _: wh.claim("batch", 1), range(40)))
+    assert sorted(numbers) == list(range(1, 41))
+    assert wh.claim("other", 7) == 7 and wh.claim("other", 3) == 3
+    # A run that has claimed its id but not logged it yet does not give it to the next one.
+    assert [ops.start_batch(wh), ops.start_batch(wh)] == [41, 42]
+
+
 def test_policy_dimension(box):
     wh, _ = box
     ops.seed_charge_policy(wh)

@@ -37,11 +37,12 @@ SORTED = {"mart_fefo_pick_list": ("warehouse_id", "item_id", "fefo_rank", "lot_i
 
 def start_batch(warehouse: Warehouse) -> int:
     last = warehouse.batch_log().agg(F.coalesce(F.max("batch_id"), F.lit(0))).first()[0]
+    batch_id = warehouse.claim("batch", last + 1)
     warehouse.add_entry(
         "raw", "system_batch_log",
-        {"batch_id": last + 1, "started_at": True, "status": "running", "logged_at": True},
+        {"batch_id": batch_id, "started_at": True, "status": "running", "logged_at": True},
     )
-    return last + 1
+    return batch_id
 
 
 def finish_batch(warehouse: Warehouse, batch_id: int, status: str, files: int = 0,
@@ -199,7 +200,8 @@ def post_close_adjustment(
 ) -> int:
     """Append an audit row and return its id."""
     log = warehouse.read("ops", "ops_adjustment_log")
-    number = log.agg(F.coalesce(F.max("adjustment_id"), F.lit(0))).first()[0] + 1
+    last = log.agg(F.coalesce(F.max("adjustment_id"), F.lit(0))).first()[0]
+    number = warehouse.claim("adjustment", last + 1)
     warehouse.add_entry(
         "ops", "ops_adjustment_log",
         {"adjustment_id": number, "period": period, "table_name": table_name,

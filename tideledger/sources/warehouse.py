@@ -9,8 +9,10 @@ of a batch or a period is its latest entry.
 from __future__ import annotations
 
 import copy
+import os
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -56,6 +58,7 @@ class Warehouse:
     def __init__(self, spark: SparkSession, root: str, prefix: str = "scm_"):
         self.spark = spark
         self.prefix = prefix
+        self.root = root.rstrip("/")
         for layer in LAYERS:
             spark.sql(
                 f"CREATE DATABASE IF NOT EXISTS {prefix}{layer} LOCATION '{root}/{layer}'"
@@ -73,6 +76,34 @@ class Warehouse:
             for t in self.spark.catalog.listTables(f"{self.prefix}{layer}"):
                 self.spark.catalog.refreshTable(f"{self.prefix}{layer}.{t.name}")
 
+    def claim(self, kind: str, at_least: int) -> int:
+        """The smallest number from ``at_least`` on that nobody has claimed for ``kind``. A claim is an
+        empty file that is created only where it does not exist, so two runs never get one number."""
+        folder = f"{self.root}/_claims/{kind}"
+        number = at_least
+        while not self._create_new(f"{folder}/{number}"):
+            number += 1
+        return number
+
+    def _create_new(self, file: str) -> bool:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(file)
+        files = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        files.mkdirs(path.getParent())
+        if files.getScheme() == "file":
+            # Hadoop's local file system looks first and creates then; the system call does both at once.
+            try:
+                os.close(os.open(files.makeQualified(path).toUri().getPath(), os.O_CREAT | os.O_EXCL))
+            except FileExistsError:
+                return False
+            return True
+        try:
+            files.create(path, False).close()
+        except Py4JJavaError as e:
+            if files.exists(path):
+                return False
+            raise e
+        return True
+
     def name(self, layer: str, table: str) -> str:
         return f"{self.prefix}{layer}.{table}"
 
