@@ -33,12 +33,10 @@ def near_copy_marks(keys: Column) -> Column:
     of its lines is looked at is the smallest of the others. Pages that share most of their lines
     agree in that mostly, pages that share only boilerplate seldom."""
 
+    lines = F.filter(F.array_distinct(keys), lambda k: k.isNotNull())
+
     def two_smallest(seed: int) -> Column:
-        hashes = F.transform(
-            F.filter(F.array_distinct(keys), lambda k: k.isNotNull()), lambda k: F.xxhash64(k, F.lit(seed))
-        )
-        least = F.array_min(hashes)
-        return F.array(least, F.array_min(F.filter(hashes, lambda h: h != least)))
+        return F.slice(F.sort_array(F.transform(lines, lambda k: F.xxhash64(k, F.lit(seed)))), 1, 2)
 
     return F.array(*[two_smallest(seed) for seed in MARKS])
 
@@ -49,7 +47,11 @@ def page_counts(pages: DataFrame, near_copies_once: bool = False) -> DataFrame:
     With ``near_copies_once`` pages of a line count once if they agree in a mark
     (``near_copy_marks``); of the counts under the three hashes the middle one is taken.
     """
-    marks = [near_copy_marks(F.col("keys")).alias("marks")] if near_copies_once else []
+    marks = []
+    if near_copies_once:
+        # Before the lines are dealt out: a page's marks are made once, not once a line.
+        pages = pages.withColumn("marks", near_copy_marks(F.col("keys")))
+        marks = ["marks"]
     lines = pages.select("host", *marks, F.explode(F.array_distinct("keys")).alias("key")).where(
         F.col("key").isNotNull()
     )
@@ -57,7 +59,7 @@ def page_counts(pages: DataFrame, near_copies_once: bool = False) -> DataFrame:
         others = [
             F.struct(
                 F.lit(i).alias("i"),
-                F.when(F.col("marks")[i][0] == F.xxhash64("key", F.lit(seed)), F.col("marks")[i][1])
+                F.when(F.col("marks")[i][0] == F.xxhash64("key", F.lit(seed)), F.get(F.col("marks")[i], F.lit(1)))
                 .otherwise(F.col("marks")[i][0]).alias("mark"),
             )
             for i, seed in enumerate(MARKS)
