@@ -1,3 +1,4 @@
+import datetime as dt
 import random
 
 import pytest
@@ -93,6 +94,38 @@ def test_asof_takes_the_version_in_force(spark):
     assert rows(last, "item_id", "unit_cost_krw") == [("SKU-001", 5500.0)]
 
 
+def test_asof_reads_each_version_once_and_keeps_odd_rows(spark):
+    rng = random.Random(5)
+    start = dt.date(1997, 1, 1)
+    versions = [("hot", start + dt.timedelta(n), None if n % 10 == 0 else float(n))
+                for n in range(10_000)]
+    versions += [("few", start, 1.0), ("few", None, 2.0), (None, start, 3.0)]
+    costs = spark.createDataFrame(versions, "item_id string, effective_from date, unit double")
+    asked = [(n, "hot" if n % 3 else "few", start + dt.timedelta(rng.randrange(-50, 10_050)))
+             for n in range(2_000)]
+    asked += [(2_000, None, start), (2_001, "hot", None), (2_002, "unknown", start),
+              (2_003, "hot", start), (2_003, "hot", start)]
+    base = spark.createDataFrame(asked, "id int, item_id string, d date")
+
+    def in_force(item, at):
+        if item == "few":
+            return 1.0 if at >= start else None
+        if item != "hot" or at is None or at < start:
+            return None
+        return versions[min((at - start).days, 9_999)][2]
+
+    found = asof_join(base, costs, ["item_id"], "d", "effective_from", ["unit"])
+    want = sorted(((n, item, at, in_force(item, at)) for n, item, at in asked), key=repr)
+    assert rows(found, "id", "item_id", "d", "unit") == want
+    inner = asof_join(base, costs, ["item_id"], "d", "effective_from", ["unit"], "inner")
+    known = [w for w in want if w[1] in ("hot", "few") and w[2] is not None and w[2] >= start]
+    assert rows(inner, "id", "item_id", "d", "unit") == known
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "<=" not in plan and ">=" not in plan  # equality joins only
+    none = asof_join(base.limit(0), costs, ["item_id"], "d", "effective_from", ["unit"])
+    assert none.count() == 0
+
+
 def test_sparse_key_join_equals_plain_join(spark):
     left = spark.createDataFrame([("a", 1), (None, 2), (None, 3), ("b", 4)], "k string, id int")
     right = spark.createDataFrame([("a", "x"), ("a", "y"), (None, "z")], "k string, v string")
