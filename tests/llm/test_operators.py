@@ -334,7 +334,7 @@ def test_keys_are_shared_at_the_limit():
         other[rng.integers(5, 45)] += np.uint64(1)  # 41 of 51 shingles are shared
         with_context = lambda x: passages.shingle_hashes(
             np.concatenate([rng.integers(1, 2**62, 60).astype(np.uint64), x, rng.integers(1, 2**62, 60).astype(np.uint64)]), 5)
-        a, b = (passages.meeting_places(with_context(x), 46, passages.HASHES)[0] for x in (words, other))
+        a, b = (passages.Places([with_context(x)], 46, passages.HASHES).keys for x in (words, other))
         met += len(np.intersect1d(a, b)) > 0
     assert met >= 398
 
@@ -429,3 +429,20 @@ def test_classifier_learns_planted_words(spark):
     labels = spark.createDataFrame([*labels, (9999, 1, 1), (None, 1, 1), (1, 1, None)], "doc_id long, quality int, toxic int")
     got = toxicity.toxic_scores(docs(spark, *rows), labels).join(labels.where("toxic is not null"), "doc_id").where("held_out").collect()
     assert sum(r.predicted == r.toxic for r in got) >= 0.95 * len(got) and len(got) > 80
+
+
+def test_windows_of_a_batch_equal_those_of_the_trees():
+    rng = np.random.default_rng(8)
+    # Upper halves differ unless hashes are equal; the last texts repeat few shingles many times.
+    texts = [rng.integers(0, kinds, n).astype(np.uint64) << np.uint64(33)
+             for kinds, n in ((1 << 30, 300), (1 << 30, 0), (1 << 30, 6), (1 << 30, 7), (4, 90), (1, 40))]
+    doc = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
+    found = list(zip(*passages.batch_windows(np.concatenate(texts), doc, 7)))
+    want, start = [], 0
+    for text in texts:
+        for a, c, b in passages.window_places(text, 7):
+            want.append((start + max(a, c - 6), start + c, start + min(b, c + 7)))
+        start += len(text)
+    assert sorted(found) == sorted(want)
+    empty = passages.Places([texts[1]], 7, 3)
+    assert len(empty.keys) == 0 and len(passages.Places([], 7, 3).keys) == 0
