@@ -1,5 +1,7 @@
 """Oracle SQL per registered query."""
 
+import re
+
 from checks.oracle import with_ctes
 
 MART_SQL = {
@@ -430,6 +432,31 @@ for name, cte in {
         SELECT 'SIG-' || upper(substr(sha256(domain || '|' || metric_name || '|' || entity_id
                    || '|' || period), 1, 16)) AS signal_id, * FROM {cte}"""
 
+SQL["q33_periods"] = """
+        SELECT period FROM mart_shipment_performance WHERE period IS NOT NULL
+        UNION SELECT period FROM mart_return_analysis WHERE period IS NOT NULL
+        UNION SELECT period FROM mart_pnl_revenue WHERE period IS NOT NULL
+        UNION SELECT period FROM mart_pnl_variable_cost WHERE period IS NOT NULL
+        UNION SELECT period FROM mart_pnl_contribution WHERE period IS NOT NULL"""
+
+
+def in_period(sql: str, period: str) -> str:
+    """The same SQL over one period of its marts and of the shipments."""
+    sql = re.sub(r"\b(mart_\w+)", rf"(SELECT * FROM \1 WHERE period = '{period}')", sql)
+    return sql.replace(
+        "fact_shipment", f"(SELECT * FROM fact_shipment WHERE strftime(ship_date, '%Y-%m') = '{period}')")
+
+
+PERIOD = "1997-03"
+for name in [
+    "q08_shipment_kpis", "q08_shipments_by_warehouse", "q08_shipments_by_channel",
+    "q12_return_kpis", "q12_returns_by_reason", "q12_returns_by_disposition",
+    "q12_top_return_items", "q22_revenue_kpis", "q22_revenue_by_store", "q23_coverage_totals",
+    "q24_mean_margins", "q25_cost_by_domain", "q25_cost_by_stage", "q26_logistics_ratio",
+    "q27_unit_costs", "q28_item_ranking", "q28_store_ranking",
+]:
+    SQL[f"{name}_in_period"] = in_period(SQL[name], PERIOD)
+
 
 def oracle_sql() -> dict[str, str]:
     plain = {name: f"SELECT * FROM {cte}" for name, cte in MART_SQL.items()}

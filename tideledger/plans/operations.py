@@ -31,6 +31,13 @@ MART_ORDER = [
 # Marts that are stored in an order.
 SORTED = {"mart_fefo_pick_list": ("warehouse_id", "item_id", "fefo_rank", "lot_id")}
 
+# Marts that boards read by period.
+BY_PERIOD = {
+    "mart_shipment_performance", "mart_return_analysis", "mart_pnl_revenue", "mart_pnl_cogs",
+    "mart_pnl_gross_margin", "mart_pnl_variable_cost", "mart_pnl_contribution",
+    "mart_pnl_operating_profit",
+}
+
 
 # ---- batches ----------------------------------------------------------------------------
 
@@ -75,9 +82,12 @@ def build_marts(warehouse: Warehouse, as_of_date: dt.date) -> dict[str, str]:
                 # The factors as stored are what has to add up, not what they should be.
                 marts.charge_totals = allocation.spread_totals(marts.charge_spread)
             mart = getattr(marts, name)
-            warehouse.replace("mart", name, mart.orderBy(*SORTED[name]) if name in SORTED else mart)
+            if name in BY_PERIOD:
+                warehouse.replace_by_period("mart", name, mart)
+            else:
+                warehouse.replace("mart", name, mart.orderBy(*SORTED[name]) if name in SORTED else mart)
             # Later marts read the stored table instead of repeating its plan.
-            setattr(marts, name, warehouse.read("mart", name))
+            setattr(marts, name, warehouse.read("mart", name).select(*mart.columns))
             if name == "mart_inventory_onhand":
                 marts.onhand_for_signals = marts.mart_inventory_onhand
                 add_issues(warehouse, expiry.expired_issues(marts.mart_inventory_onhand))

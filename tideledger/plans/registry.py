@@ -15,6 +15,7 @@ from tideledger.plans import (
     allocation, boards, constraint, coverage, expiry, pnl, quality, reco, scm,
 )
 from tideledger.plans.marts import Marts
+from tideledger.plans.periods import OnePeriod, periods
 from tideledger.session import tune
 from tideledger.sources.inbox import cast_columns
 from tideledger.sources.order_book import AS_OF_DATE, OrderBook
@@ -26,6 +27,16 @@ LIMITS = {"backlog_orders": 30, "return_rate": 0.01}
 # Periods before this one are treated as closed.
 CLOSED_BEFORE = "1996-01"
 
+# The period that the boards are shown for, beside all periods.
+PERIOD = "1997-03"
+PERIOD_BOARDS = [
+    "q08_shipment_kpis", "q08_shipments_by_warehouse", "q08_shipments_by_channel",
+    "q12_return_kpis", "q12_returns_by_reason", "q12_returns_by_disposition",
+    "q12_top_return_items", "q22_revenue_kpis", "q22_revenue_by_store", "q23_coverage_totals",
+    "q24_mean_margins", "q25_cost_by_domain", "q25_cost_by_stage", "q26_logistics_ratio",
+    "q27_unit_costs", "q28_item_ranking", "q28_store_ranking",
+]
+
 MART_QUERIES = {
     "m01_inventory_onhand": "mart_inventory_onhand",
     "m02_open_po": "mart_open_po",
@@ -94,11 +105,12 @@ def _mart(attribute: str) -> Query:
 
 
 def _query(build: Callable[[Marts], DataFrame], digits: int = 6, inexact: str = "") -> Query:
-    """A query over the marts. Sums of fractions depend on the order of addition in their last
-    digits, so the ``inexact`` columns are shown rounded."""
+    """A query over the marts, of one period if that is named. Sums of fractions depend on the order
+    of addition in their last digits, so the ``inexact`` columns are shown rounded."""
 
-    def run(spark: SparkSession, folder: str) -> DataFrame:
-        df = build(marts(spark, folder))
+    def run(spark: SparkSession, folder: str, period: str | None = None) -> DataFrame:
+        m = marts(spark, folder)
+        df = build(m if period is None else OnePeriod(m, period))
         return df.withColumns({c: F.round(c, digits) for c in inexact.split()})
 
     return run
@@ -381,9 +393,17 @@ BOARD_QUERIES: dict[str, Query] = {
     "q32_scenario_summary": _query(lambda m: boards.scenario_summary(*_estimates(m))),
     "q32_scenario_stages": _query(lambda m: boards.scenario_stages(_estimates(m)[0])),
     "q32_scenario_top": _query(lambda m: boards.scenario_top(_estimates(m)[0])),
+    "q33_periods": _query(lambda m: periods(
+        m.mart_shipment_performance, m.mart_return_analysis, m.mart_pnl_revenue,
+        m.mart_pnl_variable_cost, m.mart_pnl_contribution)),
 }
 
 
+def _shown_for(query: Query, period: str) -> Query:
+    return lambda spark, folder: query(spark, folder, period=period)
+
+
 def queries() -> dict[str, Query]:
     plain = {name: _mart(attribute) for name, attribute in MART_QUERIES.items()}
-    return {**plain, **OPERATOR_QUERIES, **BOARD_QUERIES}
+    chosen = {f"{name}_in_period": _shown_for(BOARD_QUERIES[name], PERIOD) for name in PERIOD_BOARDS}
+    return {**plain, **OPERATOR_QUERIES, **BOARD_QUERIES, **chosen}

@@ -123,6 +123,13 @@ class Warehouse:
         """Full refresh of a mart or dimension."""
         rows.write.mode("overwrite").format("parquet").saveAsTable(self.name(layer, table))
 
+    def replace_by_period(self, layer: str, table: str, rows: DataFrame) -> None:
+        """Full refresh of a mart that boards read by period: a folder for each period, so that one
+        period's board opens no other one's files. Rows of a period are brought together first, large
+        periods in several files; an empty period text is stored as NULL."""
+        rows.hint("rebalance", "period").write.mode("overwrite").format("parquet").partitionBy(
+            "period").saveAsTable(self.name(layer, table))
+
     def replace_view(self, layer: str, view: str, query: str) -> None:
         """A mart that is computed where it is read; takes the place of a table of that name."""
         name = self.name(layer, view)
