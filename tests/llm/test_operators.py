@@ -2,6 +2,7 @@ import hashlib
 import itertools
 import random
 import re
+import zlib
 
 import numpy as np
 import public_tokenizers
@@ -446,3 +447,46 @@ def test_windows_of_a_batch_equal_those_of_the_trees():
     assert sorted(found) == sorted(want)
     empty = passages.Places([texts[1]], 7, 3)
     assert len(empty.keys) == 0 and len(passages.Places([], 7, 3).keys) == 0
+
+
+def test_every_labelled_row_teaches_and_calibrates(spark, monkeypatch):
+    rng = random.Random(2)
+    rows = [(i, prose(i, 20 + i % 7) + (" grumbo zlotnik" if i % 4 == 0 else ""), ["en", "de", None][i % 3], "s", 0)
+            for i in range(400)]
+    labels = spark.createDataFrame([(i, 1, int(i % 4 == 0)) for i in range(400)], "doc_id long, quality int, toxic int")
+    taught, learn = spark.sparkContext.accumulator(0), toxicity.lesson
+
+    def counted(*args):
+        work = learn(*args)
+
+        def run(table):
+            taught.add(table.num_rows)
+            return work(table)
+
+        return run
+
+    monkeypatch.setattr(toxicity, "lesson", counted)
+    model = toxicity.fit(docs(spark, *rows), labels, shard_rows=60)
+    folds = [zlib.crc32(str(i).encode()) % 5 for i in range(400)]
+    assert taught.value == toxicity.ROUNDS * sum(f > 1 for f in folds)
+    got = toxicity.toxic_scores(docs(spark, *rows), labels, model).where("held_out").collect()
+    assert sum(r.predicted == (r.doc_id % 4 == 0) for r in got) >= 0.95 * len(got)
+
+    # Thresholds over every score, in ranges of a few rows, against the direct form.
+    def direct(points):
+        scores = np.array([s for s, _ in points])
+        bad = np.array([y for _, y in points]) == 1
+        order = np.unique(scores)
+        cuts = np.concatenate([[0.5], (order[1:] + order[:-1]) / 2])
+        errors = np.array([((scores >= c) != bad).sum() for c in cuts])
+        ok = cuts[errors == errors.min()]
+        return ok[np.abs(ok - 0.5).argmin()]
+
+    close = [np.nextafter(0.7, 1), 0.7, 0.7]
+    points = [(lang, float(rng.choice([round(rng.random(), 2), *close])), int(rng.random() < 0.3))
+              for lang in ("en", "de", None, "") for _ in range(150)] + [("xx", 0.9, 1)]
+    scored = spark.createDataFrame(points, "lang string, score double, toxic int")
+    common, own = toxicity.best_thresholds(scored, 20, piece_rows=5)
+    assert common == direct([p[1:] for p in points])
+    assert own == {l: direct([p[1:] for p in points if p[0] == l]) for l in ("en", "de")}
+    assert toxicity.best_thresholds(scored.limit(0), 20) == (0.5, {})

@@ -2,25 +2,31 @@
 
 A word's vector is the sum of rows of one table: the row its hash names and those of its first
 four to seven letters. Filters of several widths slide over the words, each keeps its maximum over the
-whole text, and a logistic unit weighs the maxima. Training is on the driver, from a bounded sample
-of labelled rows; scoring runs in Arrow batches over whole texts.
+whole text, and a logistic unit weighs the maxima. All labelled rows train it: they are dealt into
+shards of a bounded size, each shard trains a copy in a task, and the copies are averaged after each
+round; one shard is plain training. Scoring runs in Arrow batches over whole texts.
 """
 
 from __future__ import annotations
 
 import zlib
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tideledger.llm.text import byte_texts, prepared, texts_of, words_of
-
-# Labelled rows used for training and calibration, of each label: the smallest hashes of doc_id.
-MAX_TOXIC = 2_500
-MAX_CLEAN = 3_500
+from tideledger.operators.ranking import SPLIT_ROWS
+from tideledger.operators.staging import staged
+
+# Labelled rows that train one copy in one task. More rows make more shards.
+SHARD_ROWS = 12_000
+# How often the copies of several shards meet, and the table rows that are averaged in one group.
+ROUNDS = 2
+PIECE = 1024
 TABLE = 1 << 17
 DIM = 12
 WIDTHS = (1, 2, 3)
@@ -30,6 +36,7 @@ FILTERS = 6
 PREFIXES = (4, 5, 6, 7)
 EDGE = b".,;:!?\"'()[]{}<>*#$%&|/\\-_"
 CACHE_WORDS = 200_000
+BATCH = 32
 
 
 def word_rows(word: bytes) -> list[int]:
@@ -41,13 +48,18 @@ def word_rows(word: bytes) -> list[int]:
     return rows
 
 
-def rows_of(text: bytes) -> np.ndarray:
-    """The table rows of each word; short texts are padded with the last, empty row."""
-    rows = np.array([word_rows(w) for w in words_of(text)], np.int32).reshape(-1, 1 + len(PREFIXES))
-    missing = max(WIDTHS) - len(rows)
-    if missing > 0:
-        rows = np.vstack([rows, np.full((missing, rows.shape[1]), TABLE - 1, np.int32)])
-    return rows
+def rows_of(texts: list[bytes]) -> list[np.ndarray]:
+    """Per text, the table rows of each word; short texts are padded with the last, empty row."""
+    place: dict[bytes, int] = {}
+    index = []
+    for text in texts:
+        words = words_of(text)
+        for w in words:
+            place.setdefault(w, len(place))
+        at = np.fromiter(map(place.__getitem__, words), np.int32, len(words))
+        index.append(np.pad(at, (0, max(0, max(WIDTHS) - len(at))), constant_values=-1))
+    rows = np.array([*map(word_rows, place), [TABLE - 1] * (1 + len(PREFIXES))], np.int32)
+    return [rows[at] for at in index]
 
 
 class WordVectors:
@@ -96,6 +108,21 @@ class Network:
         return Network(table, filters, np.zeros(n, np.float32),
                        rng.normal(0, n**-0.5, n).astype(np.float32), np.zeros(1, np.float32))
 
+    def copy(self) -> Network:
+        return Network(self.table.copy(), [f.copy() for f in self.filters], self.bias.copy(),
+                       self.weights.copy(), self.offset.copy())
+
+    def dense(self) -> np.ndarray:
+        """All parameters but the table, end to end."""
+        return np.concatenate([p.ravel() for p in [*self.filters, self.bias, self.weights, self.offset]])
+
+    def with_dense(self, values: np.ndarray) -> Network:
+        """The same table with these parameters."""
+        parts = [*self.filters, self.bias, self.weights, self.offset]
+        ends = np.cumsum([p.size for p in parts])
+        new = [values[e - p.size : e].reshape(p.shape) for e, p in zip(ends, parts)]
+        return Network(self.table, new[:-3], *new[-3:])
+
     def maxima(self, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Largest response of each filter, and where it begins."""
         best, where = [], []
@@ -114,27 +141,30 @@ class Network:
         return float(np.maximum(pooled, 0) @ self.weights + self.offset[0])
 
 
-def train(samples: list[np.ndarray], labels: np.ndarray, seed: int = 7, steps: int = 700,
+def passes_over(rows: int, steps: int = 700) -> int:
+    """Passes that make ``steps`` batches at least, but 2 to 20."""
+    return min(20, max(2, -(-steps // max(1, rows // BATCH))))
+
+
+def train(net: Network, samples: list[np.ndarray], labels: np.ndarray, passes: int, seed: int = 7,
           rate: float = 0.02) -> Network:
-    """Fit by Adam on the logistic loss, one batch of 32 texts at a time.
+    """Fit ``net`` in place by Adam on the logistic loss, one batch of texts at a time.
 
-    There are ``steps`` batches at least, but 4 to 20 passes. The loss's slope reaches only the
-    words where a filter has its maximum.
+    The loss's slope reaches only the words where a filter has its maximum.
     """
-    net = Network.fresh(seed)
     rng = np.random.default_rng(seed)
     dense = [*net.filters, net.bias, net.weights, net.offset]
     state = [(np.zeros_like(p), np.zeros_like(p)) for p in [*dense, net.table]]
     step = 0
-    n_batches = max(1, len(samples) // 32)
-    for _ in range(min(20, max(4, -(-steps // n_batches)))):
+    n_batches = max(1, len(samples) // BATCH)
+    for _ in range(passes):
         for batch in np.array_split(rng.permutation(len(samples)), n_batches):
             grads = [np.zeros_like(p) for p in dense]
             rows: list[np.ndarray] = []
             slopes: list[np.ndarray] = []
             for k in batch:
                 ids = samples[k]
-                vectors = net.table[ids].sum(axis=1)
+                vectors = net.table.take(ids, axis=0).sum(axis=1)
                 pooled, at = net.maxima(vectors)
                 active = np.maximum(pooled, 0)
                 z = active @ net.weights + net.offset[0]
@@ -177,62 +207,166 @@ def fold(id_col: str) -> Column:
 @dataclass
 class Classifier:
     net: Network
-    thresholds: dict[str, float]
-    threshold: float
+    thresholds: dict[str, float] = field(default_factory=dict)
+    threshold: float = 0.5
 
 
-def best_threshold(scores: np.ndarray, labels: np.ndarray) -> float:
-    """The middle of the gap between scores that gives the fewest errors; the lowest on a tie."""
-    order = np.sort(np.unique(scores))
-    cuts = np.concatenate([[0.5], (order[1:] + order[:-1]) / 2]) if len(order) else np.array([0.5])
-    errors = [int(((scores >= c) != labels).sum()) for c in cuts]
-    ok = cuts[np.array(errors) == min(errors)]
-    return float(ok[np.abs(ok - 0.5).argmin()])
+def best_thresholds(scored: DataFrame, min_toxic: int, piece_rows: int = SPLIT_ROWS) -> tuple[float, dict[str, float]]:
+    """The threshold of all rows of (lang, score, toxic), and those of languages with ``min_toxic``
+    toxic rows: the middle of the gap between scores that gives the fewest errors, or 0.5; on a tie the
+    one closest to 0.5, then the lowest.
 
+    Every score counts: they are sorted across tasks, and running counts of a range start from the
+    counts of the ranges before. Only a row per language comes back.
+    """
+    spark = scored.sparkSession
+    # Every row counts for all, which the empty name stands for, and for its language if it has one.
+    own = F.when(F.col("lang") != "", F.array(F.lit(""), "lang")).otherwise(F.array(F.lit("")))
+    points = staged(
+        scored.select("score", "toxic", F.explode(own).alias("of")).groupBy("of", "score").agg(F.sum("toxic").alias("bad"), F.sum(1 - F.col("toxic")).alias("good")),
+        "calibration-scores",
+    )
+    pieces = max(int(spark.conf.get("spark.sql.shuffle.partitions")), points.count() // piece_rows + 1)
+    points = staged(
+        points.repartitionByRange(pieces, "of", "score").withColumn("piece", F.spark_partition_id()),
+        "calibration-ranges",
+    )
+    # One row per range and language reaches these windows.
+    ranges = Window.partitionBy("of").orderBy("piece")
+    starts = points.groupBy("of", "piece").agg(
+        F.sum("bad").alias("b"), F.sum("good").alias("g"), F.min("score").alias("low")
+    ).select(
+        "of", "piece", (F.sum("b").over(ranges) - F.col("b")).alias("bad_before"),
+        (F.sum("g").over(ranges) - F.col("g")).alias("good_before"), F.lead("low").over(ranges).alias("next_low"),
+        F.sum("b").over(Window.partitionBy("of")).alias("all_bad"),
+        F.sum("g").over(Window.partitionBy("of")).alias("all_good"),
+    )
+    inside = Window.partitionBy("of", "piece").orderBy("score")
+    cut = (F.coalesce(F.lead("score").over(inside), F.col("next_low")) + F.col("score")) / 2
+    # Where no double lies between two scores, the middle is the lower one, which it then flags.
+    flagged = cut <= F.col("score")
+    missed = F.col("bad_before") + F.sum("bad").over(inside) - F.when(flagged, F.col("bad")).otherwise(0)
+    passed = F.col("good_before") + F.sum("good").over(inside) - F.when(flagged, F.col("good")).otherwise(0)
+    gaps = points.join(starts, ["of", "piece"]).select(
+        "of", cut.alias("cut"), (missed + F.col("all_good") - passed).alias("errors")
+    ).where(F.col("cut").isNotNull())
+    below = F.col("score") < 0.5
+    middle = points.groupBy("of").agg(F.sum(F.when(below, F.col("bad")).otherwise(F.col("good"))).alias("errors"))
+    best = gaps.unionByName(middle.withColumn("cut", F.lit(0.5))).groupBy("of").agg(
+        F.min(F.struct("errors", F.abs(F.col("cut") - 0.5).alias("off"), "cut")).alias("best")
+    )
+    toxic = points.groupBy("of").agg(F.sum("bad").alias("toxic"))
+    found = {r["of"]: r for r in best.join(toxic, "of").select("of", "best.cut", "toxic").collect()}
+    common = found.pop("", None)
+    return (
+        common.cut if common else 0.5,
+        {of: r.cut for of, r in sorted(found.items()) if r.toxic >= min_toxic},
+    )
 
-def fit(docs: DataFrame, labels: DataFrame, min_toxic: int = 20) -> Classifier:
-    """Train on labelled rows whose fold is not 0; fold 1 only calibrates thresholds.
 
-    At most MAX_TOXIC and MAX_CLEAN rows are used, chosen by a hash of their ids; their texts are
-    read whole. A language gets a threshold of its own if it has ``min_toxic`` calibration rows of
-    label 1, else the common one holds. Rows without label or without document teach nothing;
-    an id labelled twice counts once, with its larger label.
-    """
-    spark = prepared(docs.sparkSession)
+def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """doc_id, text, lang, toxic and whether the row calibrates, of each document with a label whose
+    fold is not 0. An id labelled twice counts once, with its larger label."""
     known = (
         labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
         .where(F.col("toxic").isin(0, 1) & (fold("doc_id") != 0))
         .groupBy("doc_id")
         .agg(F.max("toxic").alias("toxic"))
     )
-    chosen = [
-        known.where(F.col("toxic") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
-        for label, most in ((1, MAX_TOXIC), (0, MAX_CLEAN))
-    ]
-    ids = spark.createDataFrame(
-        [(r.doc_id, r.toxic) for part in chosen for r in part.collect()], "doc_id long, toxic int"
+    return texts_of(docs, "doc_id", "text", "lang").join(known, "doc_id").select(
+        "doc_id", "text", "lang", "toxic", (fold("doc_id") == 1).alias("calibrates")
+    )
+
+
+def fit(docs: DataFrame, labels: DataFrame, min_toxic: int = 20, shard_rows: int = SHARD_ROWS) -> Classifier:
+    """Train on every labelled row whose fold is not 0; fold 1 only calibrates thresholds.
+
+    A language gets a threshold of its own if it has ``min_toxic`` calibration rows of
+    label 1, else the common one holds. Rows without label or without document teach nothing.
+    """
+    prepared(docs.sparkSession)
+    rows = staged(labelled(docs, labels), "labelled-texts")
+    lessons = rows.where(~F.col("calibrates"))
+    n = lessons.count()
+    if not n:
+        lessons, n = rows, rows.count()
+    net = train_in_shards(lessons, n, shard_rows)
+    scored = with_score(rows.where("calibrates").select("lang", "text", "toxic"), "text", Classifier(net), "score")
+    threshold, thresholds = best_thresholds(scored.drop("text"), min_toxic)
+    return Classifier(net, thresholds, threshold)
+
+
+def train_in_shards(rows: DataFrame, n: int, shard_rows: int = SHARD_ROWS) -> Network:
+    """A network from all ``n`` rows, in shards of about ``shard_rows`` rows.
+
+    In each round every shard goes on from the common network. Then dense parameters are the mean over
+    shards, and a row of the table is the mean over the shards that met one of its words.
+    """
+    spark, net = rows.sparkSession, Network.fresh(7)
+    shards = -(-n // shard_rows)
+    passes = passes_over(n // max(shards, 1))
+    rounds = min(ROUNDS, shards)
+    dealt = rows.select(
+        F.pmod(F.xxhash64("doc_id", "text"), F.lit(max(shards, 1))).cast("int").alias("shard"), "doc_id", "text", "toxic"
     )
-    rows = (
-        texts_of(docs, "doc_id", "text", "lang")
-        .join(F.broadcast(ids), "doc_id")  # MAX_TOXIC + MAX_CLEAN rows at most
-        .select("doc_id", "text", "lang", "toxic", (fold("doc_id") == 1).alias("calibrates"))
-        .orderBy("doc_id", "text")
-        .collect()
+    for turn in range(rounds):
+        start = spark.sparkContext.broadcast(net)
+        now = passes // rounds + (turn < passes % rounds)
+        parts = dealt.groupBy("shard").applyInArrow(lesson(start, now, turn), PARTS_SQL)
+        for r in parts.groupBy("piece").applyInArrow(mean_parts, PARTS_SQL).collect():
+            vectors = np.frombuffer(r.vectors, np.float32)
+            if r.piece < 0:
+                net = net.with_dense(vectors)
+            else:
+                net.table[np.frombuffer(r.places, np.int32)] = vectors.reshape(-1, DIM)
+        start.unpersist()
+    return net
+
+
+PARTS_SQL = "shard int, piece int, places binary, vectors binary"
+PARTS = pa.schema([("shard", pa.int32()), ("piece", pa.int32()), ("places", pa.binary()), ("vectors", pa.binary())])
+
+
+def lesson(start: Broadcast, passes: int, turn: int):
+    """What a shard's rows make of the common network: its dense parameters and the rows they met."""
+
+    def learn(table):
+        shard = table.column("shard")[0].as_py()
+        texts = table.column("text").cast(pa.binary()).to_pylist()
+        rows = sorted(zip(table.column("doc_id").to_pylist(), texts, table.column("toxic").to_pylist()))
+        samples = rows_of([t for _, t, _ in rows])
+        truth = np.array([y for _, _, y in rows], np.float32)
+        net = train(start.value.copy(), samples, truth, passes, seed=7 + 1000 * shard + turn)
+        met = np.unique(np.concatenate([np.unique(s) for s in samples]))
+        parts = [(-1, b"", net.dense())]
+        for piece in np.unique(met // PIECE):
+            at = met[met // PIECE == piece]
+            parts.append((int(piece), at.tobytes(), net.table[at]))
+        return pa.Table.from_pylist(
+            [{"shard": shard, "piece": p, "places": at, "vectors": v.tobytes()} for p, at, v in parts], PARTS
+        )
+
+    return learn
+
+
+def mean_parts(table):
+    """The mean of a piece over shards; of the table's rows, over the shards that met them."""
+    parts = sorted(table.to_pylist(), key=lambda r: r["shard"])
+    piece = parts[0]["piece"]
+    if piece < 0:
+        mean = np.mean([np.frombuffer(r["vectors"], np.float32) for r in parts], axis=0, dtype=np.float64)
+        places = b""
+    else:
+        total, met = np.zeros((PIECE, DIM)), np.zeros((PIECE, 1))
+        for r in parts:
+            at = np.frombuffer(r["places"], np.int32) - piece * PIECE
+            total[at] += np.frombuffer(r["vectors"], np.float32).reshape(-1, DIM)
+            met[at] += 1
+        at = np.flatnonzero(met)
+        mean, places = total[at] / met[at], (at + piece * PIECE).astype(np.int32).tobytes()
+    return pa.Table.from_pylist(
+        [{"shard": -1, "piece": piece, "places": places, "vectors": mean.astype(np.float32).tobytes()}], PARTS
     )
-    samples = [rows_of(r.text.encode("utf-8", "surrogatepass")) for r in rows]
-    truth = np.array([r.toxic for r in rows], np.float32)
-    held = np.array([r.calibrates for r in rows], bool)
-    learn = np.flatnonzero(~held) if (~held).any() else np.arange(len(rows))
-    net = train([samples[i] for i in learn], truth[learn]) if len(rows) else Network.fresh(7)
-    scores = np.array([1 / (1 + np.exp(-net.logit(net.table[samples[i]].sum(axis=1)))) for i in np.flatnonzero(held)])
-    langs = np.array([rows[i].lang or "" for i in np.flatnonzero(held)])
-    cal = truth[held] == 1
-    thresholds = {
-        str(lang): best_threshold(scores[langs == lang], cal[langs == lang])
-        for lang in np.unique(langs)
-        if lang and cal[langs == lang].sum() >= min_toxic
-    }
-    return Classifier(net, thresholds, best_threshold(scores, cal))
 
 
 def with_score(docs: DataFrame, text: str, model: Classifier, column: str) -> DataFrame:
