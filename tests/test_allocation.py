@@ -216,3 +216,19 @@ def test_unknown_charge_types_are_reported(spark):
         [("S1", day("2024-01-05"), "W1", "I", 1.0, "L", None, None, "O1", "A")], SHIPMENT)
     rates = spark.createDataFrame([], FX)
     assert allocation.unallocated_charges(charges, rates, shipped).count() == 1
+
+
+@pytest.mark.parametrize("seed", [11, 12])
+def test_sums_of_asked_keys_equal_the_sums_of_all(spark, seed):
+    """Only charges of a period that was asked for meet a target; what they give is unchanged."""
+    spread = allocation.spread_charges(*random_allocation(spark, seed))
+    keys = ["period", "item_id", "channel_store_id"]
+    everything = allocation.allocated_sums(spread, keys[:1], keys[1:]).withColumns(
+        {k: F.coalesce(k, F.lit(allocation.ANY)) for k in keys[1:]}
+    ).groupBy(*keys).agg(F.round(F.sum("allocated_amount_krw"), 3).alias("krw"))
+    some = everything.where(F.pmod(F.hash(*keys), F.lit(3)) == 0).select(*keys)
+    asked = some.union(some).union(spark.createDataFrame([("1999-01", "I", None)], some.schema))
+    got = allocation.allocated_sums(spread, keys[:1], keys[1:], only=asked).groupBy(*keys).agg(
+        F.round(F.sum("allocated_amount_krw"), 3).alias("krw"))
+    want = rows(everything.join(some, keys, "left_semi"), *keys, "krw")
+    assert rows(got, *keys, "krw") == want and 0 < len(want) < everything.count()

@@ -42,6 +42,8 @@ CONSTANT = ["order_count", "line_count", "revenue"]
 BASES = MEASURED + CONSTANT
 CHARGE = ["invoice_no", "invoice_line_no", "charge_type"]
 EVERYWHERE = "__all_warehouses__"
+# What sums show for a target without item or store.
+ANY = "ALL"
 SLICES = 64
 # Positions that meet in one task where intervals are compared.
 BUCKET = 65_536
@@ -572,11 +574,15 @@ def _whole_units(factor: int) -> Column:
     return F.bround(F.col("amount") * F.lit(float(factor)))
 
 
-def allocated_sums(spread: Spread, charge_keys: list[str], target_keys: list[str]) -> DataFrame:
+def allocated_sums(
+    spread: Spread, charge_keys: list[str], target_keys: list[str], only: DataFrame | None = None
+) -> DataFrame:
     """``charge_keys`` x ``target_keys``: number of targets and their amounts, from the factors.
 
     ``target_keys`` are columns of (item_id, channel_store_id), or none for sums over all targets.
-    Charges of equal keys, scope and rate are added up before they meet targets.
+    Charges of equal keys, scope and rate are added up before they meet targets. ``only`` has
+    rows of both keys: then targets meet the prices of the charges asked for and no others, and a
+    NULL target key goes by ``ANY``.
     """
     factor, targets = spread.factor, spread.targets
     named = spread.charges.select(*CHARGE, *_new([*charge_keys, "rate"]))
@@ -607,13 +613,18 @@ def allocated_sums(spread: Spread, charge_keys: list[str], target_keys: list[str
         # Then no product of prices and targets is shuffled: targets lie where their sums are made.
         prices = F.broadcast(prices)
         entries = entries.repartition(*target_keys) if target_keys else entries
+    if only is not None:
+        asked = only.select(*charge_keys, *target_keys).na.drop()
+        entries = entries.withColumns({k: F.coalesce(k, F.lit(ANY)) for k in target_keys}).join(
+            asked.repartition(*target_keys).distinct(), target_keys
+        )
     begin = F.greatest("__lo", "lo")
     n = F.least("__hi", "hi") - begin
     once = (F.col("kind") != "place") | (F.floor(begin / BUCKET) == F.col("at"))
     amount = F.col("units").cast("double") / F.lit(float(factor))
     spread_out = (
         entries.withColumnsRenamed({"lo": "__lo", "hi": "__hi"})
-        .join(prices, ["scope", "kind", "at"])
+        .join(prices, ["scope", "kind", "at", *(charge_keys if only is not None else [])])
         .where((n > 0) & once)
         .select(*card, *target_keys, (n * F.col("charges")).alias("targets"), (n * F.col("units")).alias("units"))
     )

@@ -11,6 +11,7 @@ from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tideledger.plans import allocation, constraint, coverage, pnl, reco, scm
 
@@ -120,15 +121,29 @@ class Marts:
 
     @cached_property
     def mart_pnl_variable_cost(self) -> DataFrame:
+        """As long as the charge-target pairs where items and stores are many, so it is not stored
+        for other marts: they read ``variable_cost_sums`` and the costs of the grains they have."""
         sums = allocation.allocated_sums(
             self.charge_spread, ["period", "charge_domain", "charge_type"],
             ["item_id", "channel_store_id"],
         )
-        return self.keep(pnl.variable_cost(sums), "mart_pnl_variable_cost")
+        return pnl.variable_cost(sums)
+
+    @cached_property
+    def variable_cost_sums(self) -> DataFrame:
+        """The variable cost mart summed over items and stores, without its rows."""
+        sums = allocation.allocated_sums(self.charge_spread, ["period", "charge_domain", "charge_type"], [])
+        none = F.lit(None).cast("string")
+        sums = pnl.variable_cost(sums.withColumns({"item_id": none, "channel_store_id": none}))
+        return self.keep(sums, "variable-cost-sums")
 
     @cached_property
     def mart_pnl_contribution(self) -> DataFrame:
-        left_over = pnl.contribution(self.mart_pnl_gross_margin, self.mart_pnl_variable_cost)
+        margin = self.mart_pnl_gross_margin
+        costs = allocation.allocated_sums(
+            self.charge_spread, ["period"], ["item_id", "channel_store_id"], only=margin
+        )
+        left_over = pnl.contribution(margin, costs)
         return self.keep(left_over, "mart_pnl_contribution")
 
     @cached_property
@@ -141,7 +156,7 @@ class Marts:
             self.mart_pnl_revenue,
             self.mart_pnl_cogs,
             self.mart_pnl_gross_margin,
-            self.mart_pnl_variable_cost,
+            self.variable_cost_sums,
             self.mart_pnl_contribution,
             self.mart_pnl_operating_profit,
         )

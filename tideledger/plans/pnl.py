@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tideledger import config
 from tideledger.functions.columns import month_key, or_zero, period_end
 from tideledger.operators.asof import asof_join
+from tideledger.plans.allocation import ANY
 from tideledger.plans.scm import sales_only, unit_costs
 
 GRAIN = ["period", "item_id", "channel_store_id"]
@@ -133,8 +134,8 @@ def variable_cost(sums: DataFrame) -> DataFrame:
     """Allocated charges per grain, domain and type, from their sums."""
     return sums.select(
         "period",
-        F.coalesce("item_id", F.lit("ALL")).alias("item_id"),
-        F.coalesce("channel_store_id", F.lit("ALL")).alias("channel_store_id"),
+        F.coalesce("item_id", F.lit(ANY)).alias("item_id"),
+        F.coalesce("channel_store_id", F.lit(ANY)).alias("channel_store_id"),
         F.lit("KR").alias("country"),
         "charge_domain", "charge_type", "allocated_amount_krw",
         F.lit("ACTUAL").alias("coverage_flag"),
@@ -142,6 +143,7 @@ def variable_cost(sums: DataFrame) -> DataFrame:
 
 
 def contribution(gross_margin_mart: DataFrame, variable_cost_mart: DataFrame) -> DataFrame:
+    """Margin less variable cost; only ``GRAIN`` and amount are read of the cost."""
     totals = variable_cost_mart.groupBy(*GRAIN).agg(
         F.sum("allocated_amount_krw").alias("total_vc")
     )

@@ -395,7 +395,7 @@ BOARD_QUERIES: dict[str, Query] = {
     "q32_scenario_top": _query(lambda m: boards.scenario_top(_estimates(m)[0])),
     "q33_periods": _query(lambda m: periods(
         m.mart_shipment_performance, m.mart_return_analysis, m.mart_pnl_revenue,
-        m.mart_pnl_variable_cost, m.mart_pnl_contribution)),
+        m.variable_cost_sums, m.mart_pnl_contribution)),
 }
 
 
