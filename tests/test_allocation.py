@@ -227,7 +227,8 @@ def test_sums_of_asked_keys_equal_the_sums_of_all(spark, seed):
         {k: F.coalesce(k, F.lit(allocation.ANY)) for k in keys[1:]}
     ).groupBy(*keys).agg(F.round(F.sum("allocated_amount_krw"), 3).alias("krw"))
     some = everything.where(F.pmod(F.hash(*keys), F.lit(3)) == 0).select(*keys)
-    asked = some.union(some).union(spark.createDataFrame([("1999-01", "I", None)], some.schema))
+    asked = some.union(some).union(spark.createDataFrame(
+        [("1999-01", "I", None)], ", ".join(f"{k} string" for k in keys)))
     got = allocation.allocated_sums(spread, keys[:1], keys[1:], only=asked).groupBy(*keys).agg(
         F.round(F.sum("allocated_amount_krw"), 3).alias("krw"))
     want = rows(everything.join(some, keys, "left_semi"), *keys, "krw")
