@@ -47,7 +47,7 @@ def _none_when(condition: Column, value: Column) -> Column:
 class OrderBook:
     """Lazy fact and dimension DataFrames over one directory of Parquet tables.
 
-    ``keep`` stores the three frames that cost a join or an aggregation of all lines, as a
+    ``keep`` stores the four frames that cost a join or an aggregation of all lines, as a
     warehouse would; the other facts are projections of them.
     """
 
@@ -74,11 +74,12 @@ class OrderBook:
             "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
             "l_extendedprice", "l_discount", "l_returnflag", "l_linestatus",
         )
+        # A line stays if its customer or supplier is missing. Orders, which are fewer than lines, meet
+        # their customers first; lines then move once by order key, for the join and the line numbers.
+        bought = orders.join(customer, F.col("o_custkey") == F.col("c_custkey"), "left")
         joined = (
-            lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-            # A line stays if its customer or supplier is missing.
-            .join(customer, F.col("o_custkey") == F.col("c_custkey"), "left")
-            .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"), "left")
+            lineitem.join(supplier, F.col("l_suppkey") == F.col("s_suppkey"), "left")
+            .join(bought, F.col("l_orderkey") == F.col("o_orderkey"))
             .withColumn("order_date", F.to_date("o_orderdate"))
             .withColumn("line_no", self._line_no())
             .drop("o_orderkey", "o_custkey", "o_orderdate", "c_custkey", "s_suppkey")
@@ -122,7 +123,7 @@ class OrderBook:
     @cached_property
     def shipment(self) -> DataFrame:
         part = self.table("part").select("p_partkey", "p_size")
-        return self.shipped_lines.join(part, F.col("l_partkey") == F.col("p_partkey")).select(
+        shipped = self.shipped_lines.join(part, F.col("l_partkey") == F.col("p_partkey")).select(
             F.concat_ws("-", F.lit("SHP"), "l_orderkey", "l_linenumber").alias("shipment_id"),
             "ship_date", "warehouse_id", "item_id",
             F.col("l_quantity").alias("qty_shipped"),
@@ -136,6 +137,7 @@ class OrderBook:
                 "channel_store_id"
             ),
         )
+        return self.keep(shipped, "shipments")
 
     @cached_property
     def returns(self) -> DataFrame:
@@ -152,10 +154,15 @@ class OrderBook:
         )
 
     @cached_property
-    def inventory(self) -> DataFrame:
+    def lots(self) -> DataFrame:
         lots = self.lines.groupBy("s_nationkey", "l_partkey", "l_suppkey").agg(
             F.sum("l_quantity").alias("qty")
         )
+        return self.keep(lots, "lots")
+
+    @cached_property
+    def inventory(self) -> DataFrame:
+        """The lots on each snapshot day: a projection, so that days are not stored."""
         part, supp = F.col("l_partkey"), F.col("l_suppkey")
         days = F.array(
             *[
@@ -165,7 +172,7 @@ class OrderBook:
         )
         expiry = F.date_add(F.lit(SNAPSHOT_DAYS[0]), ((part * 13 + supp * 7) % 500 - 40).cast("int"))
         moved = F.col("qty") + F.pmod(part * F.col("step"), F.lit(7))
-        snapshots = lots.select("*", F.explode(days).alias("d")).select("*", "d.*").select(
+        return self.lots.select("*", F.explode(days).alias("d")).select("*", "d.*").select(
             "snapshot_date",
             _text("s_nationkey").alias("warehouse_id"),
             _text(part).alias("item_id"),
@@ -177,7 +184,6 @@ class OrderBook:
             .otherwise((part + supp) % 17 == 0)
             .alias("hold_flag"),
         )
-        return self.keep(snapshots, "inventory-snapshots")
 
     @cached_property
     def item(self) -> DataFrame:
