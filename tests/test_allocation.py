@@ -233,3 +233,17 @@ def test_sums_of_asked_keys_equal_the_sums_of_all(spark, seed):
         F.round(F.sum("allocated_amount_krw"), 3).alias("krw"))
     want = rows(everything.join(some, keys, "left_semi"), *keys, "krw")
     assert rows(got, *keys, "krw") == want and 0 < len(want) < everything.count()
+
+
+def test_sums_are_made_in_pieces_of_bounded_pairs(spark, monkeypatch):
+    """Prices are few and go to the targets, whose number of pieces follows from the pairs."""
+    spread = allocation.spread_charges(*random_allocation(spark, 13))
+    keys = ["period", "item_id", "channel_store_id"]
+    pairs = allocation.expanded(spread)
+    want = rows(pairs.groupBy(*keys).agg(F.round(F.sum("allocated_amount_krw"), 3).alias("krw")), *keys, "krw")
+    monkeypatch.setattr(allocation, "PIECE_PAIRS", 50)
+    sums = allocation.allocated_sums(spread, keys[:1], keys[1:])
+    plan = sums._jdf.queryExecution().executedPlan().toString()
+    assert f", {pairs.count() // 50 + 1}), REPARTITION_BY_NUM" in plan
+    assert "SortMergeJoin" not in plan
+    assert rows(sums.withColumn("krw", F.round("allocated_amount_krw", 3)), *keys, "krw") == want

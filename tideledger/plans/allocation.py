@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tideledger import config
-from tideledger.operators.joins import BROADCAST_ROWS, is_small
+from tideledger.operators.joins import is_small
 from tideledger.operators.ranking import CUT_POINTS, ordered_position, weighted_cut
 from tideledger.operators.staging import staged
 
@@ -47,6 +47,10 @@ ANY = "ALL"
 SLICES = 64
 # Positions that meet in one task where intervals are compared.
 BUCKET = 65_536
+# Charge-target pairs that are summed in one task, so that its memory does not grow with the data.
+PIECE_PAIRS = 1_000_000
+# Up to so many prices, counted after they are stored, are sent to all tasks.
+PRICE_ROWS = 500_000
 # Cut position of charges whose tied targets all get one unit more.
 ALL_TIED = 2**62
 
@@ -597,35 +601,57 @@ def allocated_sums(
         .unionByName(bucketed(_steps(parts.where(constant), card), "place"))
         .unionByName(_tie_prices(open_ties, card))
     )
-    # One look at the parts: the bases to count, and a bound on the number of prices.
+    if only is not None:
+        asked = only.select(*charge_keys, *target_keys).na.drop()
+        prices = prices.join(F.broadcast(asked.select(*charge_keys).distinct()), charge_keys, "left_semi")
+    prices = staged(prices, "prices")
+    # One look at the parts: the bases to count.
     basis = F.when(~constant, F.struct("allocation_basis", F.col("scope") == EVERYWHERE))
-    pieces = F.when(constant, 2 * (F.col("targets") / BUCKET + 2)).otherwise(F.lit(2.0))
-    about = spread.parts.agg(
-        F.collect_set(basis), F.collect_set(F.when(F.col("open_tie"), basis)), F.sum(pieces)
-    ).first()
+    about = spread.parts.agg(F.collect_set(basis), F.collect_set(F.when(F.col("open_tie"), basis))).first()
     used, tied = ([tuple(b) for b in about[i]] for i in (0, 1))
-    entries = (
-        _value_entries(targets, used, target_keys)
-        .unionByName(bucketed(_runs(targets, target_keys), "place"))
-        .unionByName(_tie_entries(open_ties, targets, tied, target_keys))
-    )
-    if (about[2] or 0) <= BROADCAST_ROWS:
-        # Then no product of prices and targets is shuffled: targets lie where their sums are made.
+    lots = target_lots(targets, used, target_keys)
+    places, pieces = target_keys, 0
+    if target_keys:
+        # Targets move once, to where their sums are made, in pieces of a bounded number of pairs.
+        pairs = spread.charges.where(F.col("scope").isNotNull()).agg(F.sum("targets")).first()[0] or 0
+        pieces = max(
+            int(targets.sparkSession.conf.get("spark.sql.shuffle.partitions")), pairs // PIECE_PAIRS + 1
+        )
+        if only is not None:
+            # Runs are of the keys as they are, since ``ANY`` may be the name of one, too.
+            named = {f"__{k}": F.coalesce(k, F.lit(ANY)) for k in target_keys}
+            lots, targets, places = lots.withColumns(named), targets.withColumns(named), list(named)
+        lots = lots.repartition(pieces, *places)
+    entries = _value_entries(lots, used, places).unionByName(bucketed(_runs(lots, places), "place"))
+    if tied:
+        ties = _tie_entries(open_ties, targets, tied, places)
+        entries = entries.unionByName(ties.repartition(pieces, *places) if places else ties)
+    entries = entries.withColumnsRenamed(dict(zip(places, target_keys)))
+    on = ["scope", "kind", "at"]
+    wanted = F.lit(True)
+    near = is_small(prices, PRICE_ROWS)
+    if near:
+        # Then no product of prices and targets is shuffled.
         prices = F.broadcast(prices)
-        entries = entries.repartition(*target_keys) if target_keys else entries
-    if only is not None:
-        asked = only.select(*charge_keys, *target_keys).na.drop()
-        entries = entries.withColumns({k: F.coalesce(k, F.lit(ANY)) for k in target_keys}).join(
-            asked.repartition(*target_keys).distinct(), target_keys
+    if only is not None and near:
+        # The keys asked for come as one list per target, so targets are not repeated for each.
+        key = F.col(charge_keys[0]) if len(charge_keys) == 1 else F.struct(*charge_keys)
+        lists = asked.repartition(pieces, *target_keys).groupBy(*target_keys).agg(
+            F.collect_set(key).alias("__asked")
         )
+        entries = entries.join(lists, target_keys)
+        wanted = F.array_contains("__asked", key)
+    elif only is not None:
+        entries = entries.join(asked.repartition(pieces, *target_keys).distinct(), target_keys)
+        on = [*on, *charge_keys]
     begin = F.greatest("__lo", "lo")
     n = F.least("__hi", "hi") - begin
     once = (F.col("kind") != "place") | (F.floor(begin / BUCKET) == F.col("at"))
     amount = F.col("units").cast("double") / F.lit(float(factor))
     spread_out = (
         entries.withColumnsRenamed({"lo": "__lo", "hi": "__hi"})
-        .join(prices, ["scope", "kind", "at", *(charge_keys if only is not None else [])])
-        .where((n > 0) & once)
+        .join(prices, on)
+        .where((n > 0) & once & wanted)
         .select(*card, *target_keys, (n * F.col("charges")).alias("targets"), (n * F.col("units")).alias("units"))
     )
     # Only with no shipment at all is a charge whole, so no key is on both sides.
@@ -648,11 +674,37 @@ def _value_prices(parts: DataFrame, card: list[str]) -> DataFrame:
     ).agg(F.sum("units").alias("units"), F.count(F.lit(1)).alias("charges")).withColumns(any_count())
 
 
-def _value_entries(targets: DataFrame, used: list[tuple[str, bool]], target_keys: list[str]) -> DataFrame:
-    """How many targets have a value: [0, n)."""
-    return value_counts(targets, used, target_keys).select(
-        *target_keys, "scope", F.col("allocation_basis").alias("kind"), F.col("basis_value").alias("at"),
-        F.lit(0).cast("bigint").alias("lo"), F.col("n").alias("hi"),
+def target_lots(targets: DataFrame, used: list[tuple[str, bool]], target_keys: list[str]) -> DataFrame:
+    """Targets of one place with equal values of the used bases as one row: all that sums need of them."""
+    bases = sorted({b for b, _ in used})
+    return targets.groupBy(
+        *_side_by_side(target_keys), *[F.coalesce(F.col(b), F.lit(0.0)).alias(b) for b in bases]
+    ).agg(
+        F.count(F.lit(1)).alias("n"), F.min("position").alias("own"),
+        F.min("overall_position").alias("overall"),
+    )
+
+
+def _side_by_side(target_keys: list[str]) -> list[str]:
+    """Targets that agree on these lie side by side."""
+    return ["warehouse_id", *(["channel_store_id", "item_id"] if target_keys else [])]
+
+
+def _value_entries(lots: DataFrame, used: list[tuple[str, bool]], target_keys: list[str]) -> DataFrame:
+    """How many targets have a value: [0, n), for each lot on its own."""
+    entries = [
+        F.struct(
+            (F.lit(EVERYWHERE) if everywhere else F.col("warehouse_id")).alias("scope"),
+            F.lit(b).alias("kind"),
+            F.col(b).alias("at"),
+        )
+        for b, everywhere in used
+    ] or [F.struct(*[F.lit(None).cast(t).alias(c) for c, t in (
+        ("scope", "string"), ("kind", "string"), ("at", "double"))])]
+    return (
+        lots.select(*target_keys, "n", F.explode(F.array(*entries)).alias("v"))
+        .select(*target_keys, "v.*", F.lit(0).cast("bigint").alias("lo"), F.col("n").alias("hi"))
+        .where(F.col("kind").isNotNull())
     )
 
 
@@ -737,12 +789,10 @@ def _steps(parts: DataFrame, card: list[str]) -> DataFrame:
     )
 
 
-def _runs(targets: DataFrame, target_keys: list[str]) -> DataFrame:
+def _runs(lots: DataFrame, target_keys: list[str]) -> DataFrame:
     """Targets that lie side by side, as [lo, hi) of positions from 0, per scope."""
-    side_by_side = ["warehouse_id", *(["channel_store_id", "item_id"] if target_keys else [])]
-    runs = targets.groupBy(*side_by_side).agg(
-        F.count(F.lit(1)).alias("n"), F.min("position").alias("own"),
-        F.min("overall_position").alias("overall"),
+    runs = lots.groupBy(*dict.fromkeys([*_side_by_side(target_keys), *target_keys])).agg(
+        F.sum("n").alias("n"), F.min("own").alias("own"), F.min("overall").alias("overall"),
     )
     spots = F.array(
         F.struct(F.col("warehouse_id").alias("scope"), (F.col("own") - 1).alias("lo")),
