@@ -141,3 +141,30 @@ def test_unknown_warehouse_and_missing_cost(spark):
     price = spark.createDataFrame([("I", "M", day("2024-01-01"), 2.0)], COST)
     assert rows(boards.inventory_value(lots, price), "total_value", "lots_with_cost",
                 "lots_without_cost") == [(10.0, 1, 1)]
+
+
+def test_delay_signals_read_one_table_of_sums(spark):
+    lines = po(spark, ("P1", "S", "I", "2024-01-10"), ("P2", "S", "J", "2024-01-10"), ("P3", "T", "I", None))
+    got = receipt(spark, ("R1", "2024-01-20", "I", 1.0, "P1", "WMS"), ("R2", "2024-03-15", "I", 1.0, "P1", "WMS"),
+                  ("R3", "2024-03-18", "J", 1.0, "P2", "WMS"), ("R4", "2024-03-18", "I", 1.0, None, "WMS"))
+    sums = constraint.delay_sums(lines, got)
+    assert rows(sums, "supplier_id", "receipt_month", "gap", "arrivals") == [
+        ("S", "2024-01", 10, 1), ("S", "2024-03", 133, 2)]
+    columns = ["entity_id", "current_value", "period"]
+    assert rows(constraint.supplier_delay(lines, got, sums=sums), *columns) == rows(
+        constraint.supplier_delay(lines, got), *columns) == [("S", 47.7, "2024-01")]
+    assert rows(constraint.dwell_time(lines, got, sums=sums), *columns) == rows(
+        constraint.dwell_time(lines, got), *columns)
+
+
+def test_movement_groups_only_days_that_follow_a_snapshot(spark):
+    days = ["2024-01-01", "2024-01-02", "2024-01-04", None]
+    snap = spark.createDataFrame(
+        [(d and day(d), "WH", i, None, 10.0, None, None, None) for d in days for i in ("I", "J")], SNAPSHOT)
+    got = receipt(spark, ("R1", "2024-01-02", "I", 1.0, "P1", "WMS"), ("R2", "2024-01-04", "I", 1.0, "P1", "WMS"))
+    mart = reco.inventory_movement(snap, got, shipment(spark), spark.createDataFrame([], RETURN))
+    # An unknown day stays a group of its own.
+    assert rows(mart, "snapshot_date", "item_id", "receipts", "adjustments") == [
+        (None, "I", 0.0, 0.0), (None, "J", 0.0, 0.0),
+        (day("2024-01-02"), "I", 1.0, -1.0), (day("2024-01-02"), "J", 0.0, 0.0)]
+    assert "LeftSemi" in mart._jdf.queryExecution().optimizedPlan().toString()

@@ -78,13 +78,14 @@ def late_po(
     )
 
 
-def _delays(po: DataFrame, receipt: DataFrame, keep: list[str], group: list[Column | str]):
-    """Mean days from ETA to receipt, from receipts counted per PO line before the join."""
+def delay_sums(po: DataFrame, receipt: DataFrame) -> DataFrame:
+    """Days from ETA to receipt and receipts, summed per supplier, order month, warehouse and month of
+    receipt: receipts are counted per PO line before the join, and both delay signals read the sums."""
     day = F.unix_date("receipt_date")
     arrivals = (
         receipt.where(F.col("po_id").isNotNull())
         .withColumn("receipt_month", month_key("receipt_date"))
-        .groupBy("po_id", "item_id", *keep)
+        .groupBy("po_id", "item_id", "warehouse_id", "receipt_month")
         .agg(F.count("receipt_date").alias("arrivals"), F.sum(day).alias("day_sum"))
     )
     due = po.where(F.col("eta_date").isNotNull()).select(
@@ -93,16 +94,23 @@ def _delays(po: DataFrame, receipt: DataFrame, keep: list[str], group: list[Colu
     gap = F.col("day_sum") - F.col("arrivals") * F.unix_date("eta_date")
     return (
         arrivals.join(due, ["po_id", "item_id"])
-        .groupBy(*group)
-        .agg((F.sum(gap) / F.sum("arrivals")).alias("days"))
+        .groupBy("supplier_id", "po_month", "warehouse_id", "receipt_month")
+        .agg(F.sum(gap).alias("gap"), F.sum("arrivals").alias("arrivals"))
     )
 
 
+def _mean_delay(sums: DataFrame, group: list[Column | str]) -> DataFrame:
+    return sums.groupBy(*group).agg((F.sum("gap") / F.sum("arrivals")).alias("days"))
+
+
 def supplier_delay(
-    po: DataFrame, receipt: DataFrame, threshold: float = config.SUPPLIER_DELAY_DAYS_HIGH
+    po: DataFrame, receipt: DataFrame, threshold: float = config.SUPPLIER_DELAY_DAYS_HIGH,
+    sums: DataFrame | None = None,
 ) -> DataFrame:
+    """``sums`` are those of ``delay_sums``, where they are made already."""
     days = F.col("days")
-    slow = _delays(po, receipt, [], ["supplier_id", F.col("po_month").alias("period")]).where(
+    sums = delay_sums(po, receipt) if sums is None else sums
+    slow = _mean_delay(sums, ["supplier_id", F.col("po_month").alias("period")]).where(
         days >= threshold
     )
     return signal(
@@ -112,13 +120,15 @@ def supplier_delay(
 
 
 def dwell_time(
-    po: DataFrame, receipt: DataFrame, threshold: float = config.DWELL_DAYS_HIGH
+    po: DataFrame, receipt: DataFrame, threshold: float = config.DWELL_DAYS_HIGH,
+    sums: DataFrame | None = None,
 ) -> DataFrame:
+    """``sums`` are those of ``delay_sums``, where they are made already."""
     days = F.col("days")
-    keep = ["warehouse_id", "receipt_month"]
-    slow = _delays(
-        po, receipt, keep, ["warehouse_id", F.col("receipt_month").alias("period")]
-    ).where(days >= threshold)
+    sums = delay_sums(po, receipt) if sums is None else sums
+    slow = _mean_delay(sums, ["warehouse_id", F.col("receipt_month").alias("period")]).where(
+        days >= threshold
+    )
     return signal(
         slow, "logistics_customs", "dwell_time_days", days, threshold, F.lit("HIGH"),
         "warehouse", F.col("warehouse_id"), 1,
@@ -204,13 +214,14 @@ def constraint_signals(
     dwell_days: float = config.DWELL_DAYS_HIGH,
     return_rate: float = config.RETURN_RATE_HIGH,
 ) -> DataFrame:
+    sums = delay_sums(po, receipt)
     return reduce(
         DataFrame.unionByName,
         [
             late_po(po, receipt, as_of_date, late_po_ratio),
-            supplier_delay(po, receipt, delay_days),
+            supplier_delay(po, receipt, delay_days, sums),
             backlog(order, shipment, backlog_orders),
-            dwell_time(po, receipt, dwell_days),
+            dwell_time(po, receipt, dwell_days, sums),
             return_spike(returns, shipment, return_rate),
             expired_stock(onhand),
         ],

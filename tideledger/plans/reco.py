@@ -24,7 +24,8 @@ def inventory_movement(
 
     Yesterday's stock, today's stock and the three movements are stacked under today's date
     and grouped once, in place of five aggregations and four joins. A day counts only when the
-    day before has a snapshot too. The residual is booked as adjustment.
+    day before has a snapshot too; rows of other days are left out before they are grouped. The
+    residual is booked as adjustment.
     """
     measures = ["prev_onhand", "actual_onhand", "receipts", "shipments", "returns"]
 
@@ -40,6 +41,12 @@ def inventory_movement(
         )
 
     day = F.col("snapshot_date")
+    days = snapshot.select(day.alias("__day")).distinct()
+    # One row per calendar day with snapshots at most. An unknown day pairs with itself, as in a group.
+    paired = days.join(
+        days.select(F.date_add("__day", 1).alias("__next")),
+        F.col("__day").eqNullSafe(F.col("__next")), "left_semi",
+    )
     stacked = reduce(
         DataFrame.unionByName,
         [
@@ -51,7 +58,8 @@ def inventory_movement(
         ],
     )
     moves = (
-        stacked.groupBy("snapshot_date", "warehouse_id", "item_id")
+        stacked.join(F.broadcast(paired), day.eqNullSafe(F.col("__day")), "left_semi")
+        .groupBy("snapshot_date", "warehouse_id", "item_id")
         .agg(
             *[F.sum(m).alias(m) for m in measures],
             F.max("is_prev").alias("has_prev"),
