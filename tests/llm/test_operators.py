@@ -490,3 +490,16 @@ def test_every_labelled_row_teaches_and_calibrates(spark, monkeypatch):
     assert common == direct([p[1:] for p in points])
     assert own == {l: direct([p[1:] for p in points if p[0] == l]) for l in ("en", "de")}
     assert toxicity.best_thresholds(scored.limit(0), 20) == (0.5, {})
+
+
+def test_rounds_of_training_read_words_that_were_cut_once(spark, monkeypatch):
+    rows = spark.createDataFrame([(i, prose(i, 15), int(i % 3 == 0)) for i in range(60)],
+                                 "doc_id long, text string, toxic int")
+    stored, staged = {}, toxicity.staged
+    monkeypatch.setattr(toxicity, "staged", lambda df, name: stored.setdefault(name, staged(df, name)))
+    net = toxicity.train_in_shards(rows, 60, shard_rows=20)
+    assert np.isfinite(net.dense()).all()
+    # One row per shard, whose words are those of its texts.
+    shards = stored["training-shards"].collect()
+    assert len(shards) == 3 and sum(len(r.truth) // 4 for r in shards) == 60
+    assert sum(len(r.places) // 4 for r in shards) == sum(len(r.text.split()) for r in rows.collect())

@@ -19,11 +19,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tideledger.llm.text import byte_texts, prepared, texts_of, words_of
+from tideledger.operators.joins import is_small
 from tideledger.operators.ranking import SPLIT_ROWS
 from tideledger.operators.staging import staged
 
 # Labelled rows that train one copy in one task. More rows make more shards.
 SHARD_ROWS = 12_000
+# Up to so many labels go to the texts; beyond that, texts move to their labels.
+LABEL_ROWS = 1_000_000
 # How often the copies of several shards meet, and the table rows that are averaged in one group.
 ROUNDS = 2
 PIECE = 1024
@@ -48,8 +51,9 @@ def word_rows(word: bytes) -> list[int]:
     return rows
 
 
-def rows_of(texts: list[bytes]) -> list[np.ndarray]:
-    """Per text, the table rows of each word; short texts are padded with the last, empty row."""
+def words_at(texts: list[bytes]) -> tuple[list[np.ndarray], np.ndarray]:
+    """Per text, the place of each word in a list of distinct words, and the table rows of these; short
+    texts are padded with the last word, whose rows are empty."""
     place: dict[bytes, int] = {}
     index = []
     for text in texts:
@@ -58,7 +62,12 @@ def rows_of(texts: list[bytes]) -> list[np.ndarray]:
             place.setdefault(w, len(place))
         at = np.fromiter(map(place.__getitem__, words), np.int32, len(words))
         index.append(np.pad(at, (0, max(0, max(WIDTHS) - len(at))), constant_values=-1))
-    rows = np.array([*map(word_rows, place), [TABLE - 1] * (1 + len(PREFIXES))], np.int32)
+    return index, np.array([*map(word_rows, place), [TABLE - 1] * (1 + len(PREFIXES))], np.int32)
+
+
+def rows_of(texts: list[bytes]) -> list[np.ndarray]:
+    """Per text, the table rows of each word."""
+    index, rows = words_at(texts)
     return [rows[at] for at in index]
 
 
@@ -273,6 +282,8 @@ def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
         .groupBy("doc_id")
         .agg(F.max("toxic").alias("toxic"))
     )
+    known = staged(known, "known-labels")
+    known = F.broadcast(known) if is_small(known, LABEL_ROWS) else known
     return texts_of(docs, "doc_id", "text", "lang").join(known, "doc_id").select(
         "doc_id", "text", "lang", "toxic", (fold("doc_id") == 1).alias("calibrates")
     )
@@ -309,10 +320,12 @@ def train_in_shards(rows: DataFrame, n: int, shard_rows: int = SHARD_ROWS) -> Ne
     dealt = rows.select(
         F.pmod(F.xxhash64("doc_id", "text"), F.lit(max(shards, 1))).cast("int").alias("shard"), "doc_id", "text", "toxic"
     )
+    # Texts move and are cut into words once; every round reads the stored shards.
+    dealt = staged(dealt.groupBy("shard").applyInArrow(shard_words, SHARD_SQL), "training-shards")
     for turn in range(rounds):
         start = spark.sparkContext.broadcast(net)
         now = passes // rounds + (turn < passes % rounds)
-        parts = dealt.groupBy("shard").applyInArrow(lesson(start, now, turn), PARTS_SQL)
+        parts = dealt.mapInArrow(each_shard(lesson(start, now, turn)), PARTS_SQL)
         for r in parts.groupBy("piece").applyInArrow(mean_parts, PARTS_SQL).collect():
             vectors = np.frombuffer(r.vectors, np.float32)
             if r.piece < 0:
@@ -327,16 +340,52 @@ PARTS_SQL = "shard int, piece int, places binary, vectors binary"
 PARTS = pa.schema([("shard", pa.int32()), ("piece", pa.int32()), ("places", pa.binary()), ("vectors", pa.binary())])
 
 
+SHARD_SQL = "shard int, truth binary, sizes binary, places binary, rows binary"
+SHARD = pa.schema([("shard", pa.int32()), *((n, pa.binary()) for n in ("truth", "sizes", "places", "rows"))])
+
+
+def shard_words(table):
+    """A shard's texts as one row: labels, numbers of words, the places of the words among the distinct
+    ones, and the table rows of these."""
+    texts = table.column("text").cast(pa.binary()).to_pylist()
+    rows = sorted(zip(table.column("doc_id").to_pylist(), texts, table.column("toxic").to_pylist()))
+    index, words = words_at([t for _, t, _ in rows])
+    packed = {
+        "truth": np.array([y for _, _, y in rows], np.float32),
+        "sizes": np.array([len(at) for at in index], np.int64),
+        "places": np.concatenate(index).astype(np.int32),
+        "rows": words,
+    }
+    shard = table.column("shard")[0].as_py()
+    return pa.Table.from_pylist([{"shard": shard, **{k: v.tobytes() for k, v in packed.items()}}], SHARD)
+
+
+def each_shard(work):
+    """``work`` on each stored shard, as a table with a row per text; the table rows of its distinct
+    words go along as ``rows`` of the metadata."""
+
+    def run(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1).to_pylist()[0]
+                ends = np.concatenate([[0], np.cumsum(np.frombuffer(row["sizes"], np.int64))])
+                truth = np.frombuffer(row["truth"], np.float32)
+                places = pa.LargeListArray.from_arrays(ends, np.frombuffer(row["places"], np.int32))
+                texts = pa.table({"shard": np.full(len(truth), row["shard"]), "toxic": truth, "places": places})
+                yield from work(texts.replace_schema_metadata({"rows": row["rows"]})).to_batches()
+
+    return run
+
+
 def lesson(start: Broadcast, passes: int, turn: int):
     """What a shard's rows make of the common network: its dense parameters and the rows they met."""
 
     def learn(table):
         shard = table.column("shard")[0].as_py()
-        texts = table.column("text").cast(pa.binary()).to_pylist()
-        rows = sorted(zip(table.column("doc_id").to_pylist(), texts, table.column("toxic").to_pylist()))
-        samples = rows_of([t for _, t, _ in rows])
-        truth = np.array([y for _, _, y in rows], np.float32)
-        net = train(start.value.copy(), samples, truth, passes, seed=7 + 1000 * shard + turn)
+        words = np.frombuffer(table.schema.metadata[b"rows"], np.int32).reshape(-1, 1 + len(PREFIXES))
+        places = table.column("places").combine_chunks()
+        samples = [words[at] for at in np.split(places.values.to_numpy(), places.offsets.to_numpy()[1:-1])]
+        net = train(start.value.copy(), samples, table.column("toxic").to_numpy(), passes, seed=7 + 1000 * shard + turn)
         met = np.unique(np.concatenate([np.unique(s) for s in samples]))
         parts = [(-1, b"", net.dense())]
         for piece in np.unique(met // PIECE):
