@@ -195,6 +195,18 @@ def test_pipeline_rollback_and_status(box):
     assert set(status(ingest(wh, str(inbox), 2)).values()) == {"success"}
 
 
+def test_row_counts_leave_out_views_of_the_session(box, spark):
+    wh, inbox = box
+    put(inbox, a=ORDERS)
+    ingest(wh, str(inbox), 1)
+    spark.range(1).createOrReplaceTempView("counted_view")
+    try:
+        names = {r.table_name for r in wh.row_counts().collect()}
+    finally:
+        spark.catalog.dropTempView("counted_view")
+    assert "core.fact_order" in names and not any("counted_view" in n for n in names)
+
+
 def test_period_close(box):
     wh, inbox = box
     assert not ops.is_period_closed(wh, "2024-01")

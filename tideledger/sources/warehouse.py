@@ -282,7 +282,7 @@ class Warehouse:
             .select(F.lit(f"{layer}.{t.name}").alias("table_name"), "row_count")
             for layer in LAYERS
             for t in self.spark.catalog.listTables(f"{self.prefix}{layer}")
-            if not t.name.endswith("_keys")
+            if not t.isTemporary and not t.name.endswith("_keys")
         ]
         if not counts:
             return self.spark.createDataFrame([], "table_name string, row_count bigint")
