@@ -138,6 +138,23 @@ def test_sums_look_at_lines_for_ties_only(spark):
     assert sums.count() > 0
 
 
+def test_lines_do_not_move_to_few_open_ties(spark):
+    ties = spark.range(5).selectExpr(
+        "concat('I', id) invoice_no", "1L invoice_line_no", "'FREIGHT_INTL_SEA' charge_type", "'A' scope",
+        "'weight' allocation_basis", "double(id) basis_value", "50L cut_position")
+    targets = spark.range(100).selectExpr(
+        "'A' warehouse_id", "concat('P', id % 4) item_id", "double(id % 10) weight", "id + 1 position",
+        "id + 1 overall_position")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        got = allocation._tie_entries(ties, targets, [("weight", False)], ["item_id"])
+        plan = got._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert got.agg(F.sum("hi")).first()[0] == 25
+
+
 def test_view_over_stored_factors_equals_the_rows(spark):
     for seed, n_lines in ((5, 150), (6, 0)):
         spread = allocation.spread_charges(*random_allocation(spark, seed, n_lines), 2)

@@ -44,6 +44,19 @@ def test_one_group_and_equal_rows_are_split_over_tasks(spark):
     assert globally_numbered(df.limit(0), ["g"], "at").count() == 0
 
 
+def test_rows_of_hot_groups_do_not_meet_in_a_task_per_group(spark):
+    df = spark.range(6000).select((F.col("id") % 3).alias("g"), F.sha2(F.col("id").cast("string"), 256).alias("t"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", 20_000)  # far less than the rows
+    try:
+        got = ordered_position(df, ["g"], [], ["t"], "pos", 100)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert got.agg(F.max("pos")).first()[0] == 2000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    ends = plan[:plan.index("Scan parquet")]  # above the rows that were numbered
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in ends
+
+
 def cut_by_running_sum(data, ks):
     want = []
     for g, k in ks.items():

@@ -47,3 +47,11 @@ def test_shipments_and_lots_are_kept_and_snapshot_days_are_not(spark, folder):
     days = len(SNAPSHOT_DAYS)
     assert book.inventory.count() == days * kept["lots"].count() == days * 4
     assert "inventory-snapshots" not in kept
+
+
+def test_exchange_rates_are_stored_once(spark, folder):
+    kept = {}
+    book = OrderBook(spark, folder, keep=lambda df, name: kept.setdefault(name, df))
+    assert sorted(tuple(r) for r in book.exchange_rate.collect()) == [
+        ("1995-03", "EUR", 1409.0), ("1995-03", "USD", 1215.0)]
+    assert kept["exchange-rates"] is book.exchange_rate

@@ -94,8 +94,11 @@ def position_across_tasks(
     """Position within groups of any size: all groups are sorted together, and a group starts at
     the smallest of its positions."""
     numbered = globally_numbered(df, group + order, "__spot", piece_rows)
-    starts = numbered.groupBy(*[F.col(g).alias(f"__{g}") for g in group]).agg(
-        F.min("__spot").alias("__first")
+    # One row per group, stored: Spark then sees whether it can be sent to the rows, so that these do not
+    # meet in a task per group.
+    starts = staged(
+        numbered.groupBy(*[F.col(g).alias(f"__{g}") for g in group]).agg(F.min("__spot").alias("__first")),
+        "group-starts",
     )
     return (
         numbered.join(starts, same_group(group))

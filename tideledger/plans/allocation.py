@@ -109,8 +109,9 @@ def numbered_targets(targets: DataFrame) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("n"))
         .select("warehouse_id", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("start"))
     )
-    # Shipments without a warehouse are targets too.
-    starts = starts.withColumnRenamed("warehouse_id", "__of")
+    # Shipments without a warehouse are targets too. The stored size lets Spark send the rows to the targets,
+    # which would otherwise meet in a task per warehouse.
+    starts = staged(starts.withColumnRenamed("warehouse_id", "__of"), "warehouse-starts")
     return placed.join(starts, F.col("warehouse_id").eqNullSafe(F.col("__of"))).withColumn(
         "overall_position", F.col("start") + F.col("position")
     ).drop("start", "__of")
@@ -737,7 +738,9 @@ def _tie_entries(
     ties: DataFrame, targets: DataFrame, used: list[tuple[str, bool]], target_keys: list[str]
 ) -> DataFrame:
     """How many targets a contested tie reaches, counted line by line."""
-    ties = ties.select(*CHARGE, "scope", "allocation_basis", "basis_value", "cut_position")
+    # A row per charge at most for each value at its cut; where they are few, no line moves to them.
+    ties = staged(ties.select(*CHARGE, "scope", "allocation_basis", "basis_value", "cut_position"), "open-ties")
+    ties = F.broadcast(ties) if is_small(ties) else ties
     lines = stacked_positions(targets, used, target_keys)
     return (
         lines.join(ties, ["scope", "allocation_basis", "basis_value"])

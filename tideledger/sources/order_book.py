@@ -48,7 +48,7 @@ class OrderBook:
     """Lazy fact and dimension DataFrames over one directory of Parquet tables.
 
     ``keep`` stores the four frames that cost a join or an aggregation of all lines, as a
-    warehouse would; the other facts are projections of them.
+    warehouse would, and the few exchange rates; the other facts are projections of them.
     """
 
     def __init__(
@@ -285,12 +285,9 @@ class OrderBook:
                 (F.col("m") != 11).alias("known"),
             ),
         )
-        return (
-            months.select("period", F.explode(rates).alias("r"))
-            .select("period", "r.*")
-            .where("known")
-            .drop("known")
-        )
+        known = months.select("period", F.explode(rates).alias("r")).select("period", "r.*").where("known")
+        # Two rows a month: stored, so that their size is known and no line moves to them.
+        return self.keep(known.drop("known"), "exchange-rates")
 
     @cached_property
     def cost(self) -> DataFrame:
