@@ -175,6 +175,13 @@ def test_forest_as_expression_votes_like_the_model(spark):
     assert sum((r.p >= 0.5) == (r.label == 1) for r in rows) > 0.95 * len(rows)
 
 
+def test_bpe_last_tokens_are_sought_where_one_can_begin():
+    """By the last bytes of a prefix it is known how far back its last token can reach."""
+    tokens = {b"a": 1, b"ab": 2, b"abc": 3, b"xxabc": 4, b"abd": 5}
+    assert bpe.reach(tokens) == {b"abc": 5, b"abd": 3}
+    assert bpe.reach([]) == {}
+
+
 def test_bpe_equals_the_library(spark):
     file = public_tokenizers.path("word_bpe_49k.json")
     known = Tokenizer.from_file(file)

@@ -3,7 +3,7 @@
 The encoding of a word ends in exactly one token, and what stands before that token is the encoding
 of a shorter prefix. So a trie of the distinct words needs one state for each node: the last token
 of its prefix. A depth-first walk fills the states, each from the states above it, and words that
-share a prefix share the work. A token may follow another if no merge crosses their border before
+share a prefix share the work; sorted words are the trie in that order, so it need not be built. A token may follow another if no merge crosses their border before
 both are complete, which the merge ranks decide.
 """
 
@@ -25,7 +25,6 @@ from pyspark.sql import DataFrame
 
 from tideledger.llm.text import prepared, texts_of
 
-END = 256  # marks the end of a word in the trie; bytes are 0 to 255
 NEVER = 1 << 60
 CACHE_WORDS = 500_000
 # Characters handled at a time inside a batch.
@@ -34,8 +33,7 @@ CHUNK_CHARS = 2_000_000
 SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 SPACES = re.compile(f"[{SPACE}]+")
 ODD_SPACE = re.compile("[\\x1c-\\x1f]")  # white space to str.split, but not here
-BYTES = [bytes([b]) for b in range(256)]
-
+TAIL = 3  # bytes at the end of a prefix that tell how long its last token can be
 
 PIECE = f"'s|'t|'re|'ve|'m|'ll|'d|\\p{{L}}+|\\p{{N}}|[^{SPACE}\\p{{L}}\\p{{N}}]+"
 
@@ -53,6 +51,15 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
 
 
+def reach(tokens: Iterable[bytes]) -> dict[bytes, int]:
+    """By its last TAIL bytes, the length of the longest such token; tokens without an entry are shorter."""
+    longest: dict[bytes, int] = {}
+    for token in tokens:
+        if len(token) >= TAIL:
+            longest[token[-TAIL:]] = max(longest.get(token[-TAIL:], 0), len(token))
+    return longest
+
+
 class WordBpe:
     """A vocabulary with word ends: pieces of text to ids and back."""
 
@@ -92,7 +99,7 @@ class WordBpe:
                 raw = bytes(to_byte[c] for c in plain)
                 self.length[i] = len(raw)
                 (self.final if ends else self.inner)[raw] = i
-        self.longest = max(self.length.values())
+        self.inner_reach, self.final_reach = reach(self.inner), reach(self.final)
         self.may_follow: dict[tuple[int, int], bool] = {}
         self.known: dict[str, bytes] = {}
         self.runs: dict[str, bytes] = {}
@@ -120,13 +127,15 @@ class WordBpe:
             else:
                 j += 1
 
-    def last_token(self, path: bytes, lasts: list[int], tokens: dict[bytes, int]) -> int:
+    def last_token(
+        self, path: bytes, lasts: list[int], tokens: dict[bytes, int], reach: dict[bytes, int]
+    ) -> int:
         """Last token of the encoding of ``path``, given those of all shorter prefixes."""
         depth = len(path)
         if (token := tokens.get(path)) is not None:
             return token
         may_follow = self.may_follow
-        for start in range(max(1, depth - self.longest), depth):
+        for start in range(max(1, depth - reach.get(path[-TAIL:], TAIL - 1)), depth):
             if (token := tokens.get(path[start:])) is not None:
                 pair = (lasts[start], token)
                 if (ok := may_follow.get(pair)) is None:
@@ -136,41 +145,35 @@ class WordBpe:
         raise ValueError(f"no encoding for {path!r}")
 
     def learn(self, words: Iterable[str]) -> None:
-        """Encode distinct words: insert them into a trie and walk it depth first."""
-        root: dict = {}
-        for word in words:
-            node = root
-            for b in word.encode():
-                if (child := node.get(b)) is None:
-                    child = node[b] = {}
-                node = child
-            node[END] = word
-        lasts = [0]
-        path = b""
-        stack = [(root, b"")]
+        """Encode distinct words: walk the trie of them depth first, which is their order."""
         inner, final, length, known = self.inner, self.final, self.length, self.known
-        while stack:
-            node, path = stack.pop()
+        # The states of the word before, by depth; those of a prefix in common hold for the next word.
+        lasts = [0]
+        before = b""
+        for word in sorted(words):
+            path = word.encode()
             depth = len(path)
-            word = node.pop(END, None)
-            del lasts[depth:]
-            if word is not None:
-                token = self.last_token(path, lasts, final)
-                out, at = [token], depth - length[token]
-                while at > 0:
-                    token = lasts[at]
-                    out.append(token)
-                    at -= length[token]
-                known[word] = struct.pack(f"<{len(out)}I", *out[::-1])
-            if node:
-                lasts.append(self.last_token(path, lasts, inner) if depth else 0)
-                for b, child in node.items():
-                    stack.append((child, path + BYTES[b]))
+            shared, most = 0, min(len(before), depth)
+            while shared < most and before[shared] == path[shared]:
+                shared += 1
+            del lasts[shared + 1 :]
+            for d in range(len(lasts), depth):
+                lasts.append(self.last_token(path[:d], lasts, inner, self.inner_reach))
+            token = self.last_token(path, lasts, final, self.final_reach)
+            out, at = [token], depth - length[token]
+            while at > 0:
+                token = lasts[at]
+                out.append(token)
+                at -= length[token]
+            known[word] = struct.pack(f"<{len(out)}I", *out[::-1])
+            before = path
         if len(self.may_follow) > 4 * CACHE_WORDS:
             self.may_follow.clear()
 
     def pieces(self, text: str) -> list[str]:
         """Normalised text cut into the pieces that are encoded one by one."""
+        if text.isascii():
+            return self.piece.findall(text.lower())
         if not unicodedata.is_normalized("NFC", text):
             text = unicodedata.normalize("NFC", text)
         # Letter by letter where the whole text's rules would look at a letter's neighbours.
@@ -182,13 +185,19 @@ class WordBpe:
 
     def learn_runs(self, runs: set[str]) -> None:
         """Encode what stands between white space: special tokens, and pieces of the rest."""
-        cut = {}
-        for run in runs:
-            parts = self.special_in.split(run) if "<|" in run else [run]
-            cut[run] = [p for part in parts for p in ([part] if part in self.special else self.pieces(part))]
-        self.learn({p for parts in cut.values() for p in parts} - self.known.keys() - self.special.keys())
-        known, special = self.known, self.special
-        for run, parts in cut.items():
+        known, special, pieces = self.known, self.special, self.pieces
+        marked = [run for run in runs if "<|" in run]
+        cut = {run: pieces(run) for run in runs.difference(marked)}
+        split = {
+            run: [p for part in self.special_in.split(run) for p in ([part] if part in special else pieces(part))]
+            for run in marked
+        }
+        self.learn(set().union(*cut.values(), *split.values()) - known.keys() - special.keys())
+        of = known.__getitem__
+        self.runs.update({
+            run: of(parts[0]) if len(parts) == 1 else b"".join(map(of, parts)) for run, parts in cut.items()
+        })
+        for run, parts in split.items():
             self.runs[run] = b"".join(
                 [struct.pack("<I", special[p]) if p in special else known[p] for p in parts]
             )
