@@ -175,6 +175,17 @@ def test_forest_as_expression_votes_like_the_model(spark):
     assert sum((r.p >= 0.5) == (r.label == 1) for r in rows) > 0.95 * len(rows)
 
 
+def test_training_looks_up_table_rows_text_by_text():
+    texts = [b"one two three two", b"", b"two four", b"five six seven eight"]
+    index, words = toxicity.words_at(texts)
+    ends = np.cumsum([0, *map(len, index)])
+    samples = toxicity.Texts(words, np.concatenate(index), ends)
+    want = toxicity.rows_of(texts)
+    assert len(samples) == 4
+    assert all((samples[k] == want[k]).all() for k in range(4))
+    assert (samples.met() == np.unique(np.concatenate([np.unique(w) for w in want]))).all()
+
+
 def test_bpe_last_tokens_are_sought_where_one_can_begin():
     """By the last bytes of a prefix it is known how far back its last token can reach."""
     tokens = {b"a": 1, b"ab": 2, b"abc": 3, b"xxabc": 4, b"abd": 5}

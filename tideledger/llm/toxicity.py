@@ -155,7 +155,27 @@ def passes_over(rows: int, steps: int = 700) -> int:
     return min(20, max(2, -(-steps // max(1, rows // BATCH))))
 
 
-def train(net: Network, samples: list[np.ndarray], labels: np.ndarray, passes: int, seed: int = 7,
+@dataclass
+class Texts:
+    """Per text, the table rows of each word, made when asked for: ``rows`` has those of the distinct words,
+    ``places`` the words of all texts, which end at ``ends``."""
+
+    rows: np.ndarray
+    places: np.ndarray
+    ends: np.ndarray  # from 0
+
+    def __len__(self) -> int:
+        return len(self.ends) - 1
+
+    def __getitem__(self, k: int) -> np.ndarray:
+        return self.rows[self.places[self.ends[k] : self.ends[k + 1]]]
+
+    def met(self) -> np.ndarray:
+        """The table rows of all words, in order."""
+        return np.unique(self.rows[np.unique(self.places)])
+
+
+def train(net: Network, samples: list[np.ndarray] | Texts, labels: np.ndarray, passes: int, seed: int = 7,
           rate: float = 0.02) -> Network:
     """Fit ``net`` in place by Adam on the logistic loss, one batch of texts at a time.
 
@@ -367,12 +387,13 @@ def each_shard(work):
     def run(batches):
         for batch in batches:
             for i in range(batch.num_rows):
-                row = batch.slice(i, 1).to_pylist()[0]
-                ends = np.concatenate([[0], np.cumsum(np.frombuffer(row["sizes"], np.int64))])
-                truth = np.frombuffer(row["truth"], np.float32)
-                places = pa.LargeListArray.from_arrays(ends, np.frombuffer(row["places"], np.int32))
-                texts = pa.table({"shard": np.full(len(truth), row["shard"]), "toxic": truth, "places": places})
-                yield from work(texts.replace_schema_metadata({"rows": row["rows"]})).to_batches()
+                row = {n: batch.column(n)[i] for n in SHARD.names}
+                ends = np.concatenate([[0], np.cumsum(np.frombuffer(row["sizes"].as_buffer(), np.int64))])
+                truth = np.frombuffer(row["truth"].as_buffer(), np.float32)
+                places = pa.LargeListArray.from_arrays(ends, np.frombuffer(row["places"].as_buffer(), np.int32))
+                shard = np.full(len(truth), row["shard"].as_py())
+                texts = pa.table({"shard": shard, "toxic": truth, "places": places})
+                yield from work(texts.replace_schema_metadata({"rows": row["rows"].as_py()})).to_batches()
 
     return run
 
@@ -384,9 +405,10 @@ def lesson(start: Broadcast, passes: int, turn: int):
         shard = table.column("shard")[0].as_py()
         words = np.frombuffer(table.schema.metadata[b"rows"], np.int32).reshape(-1, 1 + len(PREFIXES))
         places = table.column("places").combine_chunks()
-        samples = [words[at] for at in np.split(places.values.to_numpy(), places.offsets.to_numpy()[1:-1])]
+        # Rows are looked up text by text: those of a whole shard at once are several times its words.
+        samples = Texts(words, places.values.to_numpy(), places.offsets.to_numpy())
         net = train(start.value.copy(), samples, table.column("toxic").to_numpy(), passes, seed=7 + 1000 * shard + turn)
-        met = np.unique(np.concatenate([np.unique(s) for s in samples]))
+        met = samples.met()
         parts = [(-1, b"", net.dense())]
         for piece in np.unique(met // PIECE):
             at = met[met // PIECE == piece]
