@@ -388,6 +388,23 @@ def test_nearest_equals_brute_force_where_all_leaves_open(spark):
     assert len(got) == 15 * 20
 
 
+def test_a_cell_gives_a_query_its_best_however_many_leaves_it_opens():
+    rng = np.random.default_rng(9)
+    data, asks, names = rng.normal(size=(600, 8)), rng.normal(size=(30, 8)), np.arange(0, 300, 10)
+    asks[0] = data[0]
+    leaf = np.arange(600) % 40
+    opened = [sorted(rng.choice(40, 25, replace=False).tolist()) for _ in names]
+    score = np.where(np.array([[x in o for x in leaf] for o in opened]), asks @ data.T, -np.inf)
+    score[np.arange(30), names] = -np.inf  # its own id
+    fifth = np.sort(score, axis=1)[:, -5]
+    entries = pa.table({"leaf": leaf, "vector": pa.array(data.tolist()), "ids": pa.array([[i] for i in range(600)])})
+    for least, most in ((np.full(30, -np.inf), 5), (np.where(names % 20, fifth, np.inf), 5)):
+        queries = pa.table({"query_id": names, "vector": pa.array(asks.tolist()), "leaves": pa.array(opened), "least": least})
+        got = neighbours.met_in_cell(queries, entries, 8, 5).to_pylist()
+        want = {(int(n), int(i)) for n, s, x in zip(names, score, least) for i in np.argsort(-s)[:most] if s[i] >= x}
+        assert {(r["query_id"], r["vec_id"]) for r in got} == want and len(got) == len(want)
+
+
 @pytest.mark.parametrize("n,dim", [(12_000, 64), (5_000, 8)])
 def test_production_parameters_reach_the_recall(spark, n, dim):
     rng = np.random.default_rng(n)

@@ -4,7 +4,8 @@ The trees are grown on the driver from a bounded sample; every vector is then se
 each tree. A query walks all trees through one priority queue, the least doubtful branch first,
 until it has opened a set number of leaves: as many as hold a set share of the true neighbours of
 some queries, which are found by comparing these with every vector. The vectors of those leaves are its candidates, and
-their inner products are computed exactly, leaf by leaf, where leaves and queries meet.
+their inner products are computed exactly, leaf by leaf, where leaves and queries meet. What a query finds
+in a few leaves of one tree is a limit that candidates of all other leaves must reach.
 
 For inner products of vectors of different length each vector gets one more coordinate, which
 lifts all to the length of the longest; queries get 0 there.
@@ -34,6 +35,9 @@ LEAF_ROWS = 200
 RECALL = 0.96
 MEASURED_ON = 48
 NEAREST = 20
+# Leaves of one tree that a query opens first, and entries of the leaves that meet queries in one task.
+FIRST_LEAVES = 16
+CELL_ROWS = 16_384
 
 
 @dataclass
@@ -180,6 +184,60 @@ def matrix(column: pa.Array, dim: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, dim).astype(np.float64)
 
 
+def met_in_cell(left: pa.Table, right: pa.Table, dim: int, k: int) -> pa.Table:
+    """query_id, vec_id, score: for each query (query_id, vector, leaves, least) of a cell its ``k`` best entries
+    (leaf, vector, ids) of the leaves it opens there, and those that tie with the last one, if they reach ``least``.
+
+    An entry of no id but the query's own counts for nothing.
+    """
+    out = []
+    if left.num_rows and right.num_rows:
+        column = right.column("ids").combine_chunks()
+        sizes = column.value_lengths().to_numpy(zero_copy_only=False)
+        members = column.flatten().to_numpy(zero_copy_only=False)
+        starts = np.cumsum(sizes) - sizes
+        alone = members[starts] == members[starts + sizes - 1]  # ids are in order
+        data, asks = (matrix(t.column("vector").combine_chunks(), dim) for t in (right, left))
+        names, least = left.column("query_id").to_numpy(), left.column("least").to_numpy().copy()
+        leaf_of = right.column("leaf").to_numpy()
+        in_leaf = np.argsort(leaf_of, kind="stable")
+        opened = left.column("leaves").combine_chunks()
+        askers = np.repeat(np.arange(len(asks)), opened.value_lengths().to_numpy(zero_copy_only=False))
+        opened = opened.flatten().to_numpy(zero_copy_only=False)
+        # Sums in another order differ in their last digits, so what is that near a limit stays in.
+        below = lambda x: x - 1e-9 * np.where(np.isfinite(x), np.abs(x), 0)
+        for a in range(0, len(asks), 512):
+            part = slice(*np.searchsorted(askers, [a, a + 512]))
+            by = np.argsort(opened[part], kind="stable")
+            of, who = opened[part][by], askers[part][by]
+            kinds, begins = np.unique(of, return_index=True)
+            rows = np.searchsorted(leaf_of[in_leaf], [kinds, kinds + 1])
+            hits = [(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))]
+            for x, y, r0, r1 in zip(begins, [*begins[1:], len(of)], *rows):
+                q, e = who[x:y], in_leaf[r0:r1]
+                if not len(e):
+                    continue
+                near = asks[q] @ data[e].T
+                near[alone[e] & (names[q][:, None] == members[starts[e]])] = -np.inf
+                if len(e) >= k:
+                    least[q] = np.maximum(least[q], np.partition(near, -k, axis=1)[:, -k])
+                i, j = np.nonzero((near >= below(least[q])[:, None]) & (near > -np.inf))
+                hits.append((q[i], e[j], near[i, j]))
+            q, e, score = (np.concatenate(h) for h in zip(*hits))
+            by = np.lexsort((-score, q))
+            q, e, score = q[by], e[by], score[by]
+            first = np.searchsorted(q, q)
+            last = np.minimum(first + k, np.searchsorted(q, q, side="right")) - 1
+            keep = score >= below(score[last])
+            q, e = q[keep], e[keep]
+            exact = (asks[q] * data[e]).sum(axis=1)
+            at = np.repeat(starts[e] - np.cumsum(sizes[e]) + sizes[e], sizes[e]) + np.arange(sizes[e].sum())
+            out.append((np.repeat(names[q], sizes[e]), members[at], np.repeat(exact, sizes[e])))
+    columns = [np.concatenate(c) for c in zip(*out)] or [[], [], []]
+    return pa.table({"query_id": pa.array(columns[0], pa.int64()), "vec_id": pa.array(columns[1], pa.int64()),
+                     "score": pa.array(columns[2], pa.float64())})
+
+
 def nearest(
     vectors: DataFrame,
     id_col: str = "vec_id",
@@ -205,8 +263,8 @@ def nearest(
 
     Equal vectors are one entry of the index with its k + 1 smallest ids: no other id of the entry
     can be among a query's k nearest. So a vector that many rows share fills no leaf. Leaf sizes
-    follow from the median splits; a leaf's queries are dealt over blocks, so no task holds more
-    than a leaf and a block.
+    follow from the median splits; neighbouring leaves meet their queries as one cell, and a cell's queries
+    are dealt over blocks, so no task holds more than a cell and a block.
     """
     spark = prepared(vectors.sparkSession)
     rows = usable(vectors, id_col, vector)
@@ -238,77 +296,93 @@ def nearest(
     forest = [grow(points, share, rng) for _ in range(trees)]
     sent = spark.sparkContext.broadcast(forest)
 
-    def place(batches):
-        for batch in batches:
-            own = lifted(matrix(batch.column("vector"), dim), longest)
-            where = np.stack([t.leaves(own) for t in sent.value], axis=1)
-            n = len(own)
-            take = pa.array(np.repeat(np.arange(n), len(sent.value)))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.tile(np.arange(len(sent.value), dtype=np.int32), n)),
-                 pa.array(where.ravel().astype(np.int64)),
-                 batch.column("vector").take(take), batch.column("ids").take(take)],
-                ["tree", "leaf", "vector", "ids"],
-            )
-
-    def ask(batches):
-        for batch in batches:
-            own = lifted(matrix(batch.column("vector"), dim), longest, query=True)
-            opened = [search(sent.value, q, leaves) for q in own]
-            take = pa.array(np.repeat(np.arange(len(own)), [len(o) for o in opened]))
-            flat = [x for o in opened for x in o]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([t for t, _ in flat], pa.int32()), pa.array([x for _, x in flat], pa.int64()),
-                 batch.column("query_id").take(take), batch.column("vector").take(take)],
-                ["tree", "leaf", "query_id", "vector"],
-            )
+    def by_cell(wanted: int) -> list[int]:
+        """How many neighbouring leaves of each tree make a cell of about ``CELL_ROWS`` entries."""
+        return [max(1, CELL_ROWS * (len(t.limits) + 1) // n_entries) for t in forest[:wanted]]
+
+    def place(of: list[int]):
+        """Each vector once per tree."""
+
+        def work(batches):
+            for batch in batches:
+                own, n = lifted(matrix(batch.column("vector"), dim), longest), batch.num_rows
+                where = np.stack([t.leaves(own) for t in sent.value[: len(of)]], axis=1).astype(np.int64)
+                take = pa.array(np.repeat(np.arange(n), len(of)))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.tile(np.arange(len(of), dtype=np.int32), n)),
+                     pa.array((where // np.array(of)).ravel()), pa.array(where.ravel()),
+                     batch.column("vector").take(take), batch.column("ids").take(take)],
+                    ["tree", "cell", "leaf", "vector", "ids"],
+                )
+
+        return work
+
+    def ask(of: list[int], most: int):
+        """Each query once per cell, with the leaves it opens there: ``most`` at most, of the trees of ``of``."""
+
+        def work(batches):
+            for batch in batches:
+                own = lifted(matrix(batch.column("vector"), dim), longest, query=True)
+                cells, at = [], []
+                for i, q in enumerate(own):
+                    opened: dict[tuple[int, int], list[int]] = {}
+                    of_trees = (x for x in search(sent.value, q, leaves) if x[0] < len(of))
+                    for t, leaf in islice(of_trees, most):
+                        opened.setdefault((t, leaf // of[t]), []).append(leaf)
+                    cells += opened.items()
+                    at += [i] * len(opened)
+                at = pa.array(at, pa.int64())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([t for (t, _), _ in cells], pa.int32()), pa.array([c for (_, c), _ in cells], pa.int64()),
+                     pa.array([x for _, x in cells], pa.list_(pa.int64())),
+                     *(batch.column(c).take(at) for c in ("query_id", "vector", "least"))],
+                    ["tree", "cell", "leaves", "query_id", "vector", "least"],
+                )
+
+        return work
 
     asked = rows.where(F.col("vec_id") % 20 == 0 if queries is None else queries)
     asked = asked.select(F.col("vec_id").alias("query_id"), "vector")
     if leaves is None:
         leaves = leaves_for(recall, asked, entries, sent, k, dim, longest)
-    # Queries of a leaf in blocks of some thousands: leaves and rows of a query set its mean number.
     n_asked = asked.count()
-    n_leaves = max(1, n_entries // leaf_rows)
-    blocks = 1 + n_asked * leaves // (trees * n_leaves * 4096)
-    index = entries.mapInArrow(place, f"tree int, leaf long, vector {kind}, ids array<long>")
-    index = index.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(int(blocks) - 1))))
-    questions = asked.mapInArrow(ask, f"tree int, leaf long, query_id long, vector {kind}")
-    questions = questions.withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(int(blocks))).cast("int"))
 
     def meet(left: pa.Table, right: pa.Table) -> pa.Table:
-        queries, ids, scores = [], [], []
-        if left.num_rows and right.num_rows:
-            column = right.column("ids").combine_chunks()
-            sizes = column.value_lengths().to_numpy(zero_copy_only=False)
-            members = column.flatten().to_numpy(zero_copy_only=False)
-            starts = np.cumsum(sizes) - sizes
-            data = np.array(right.column("vector").to_pylist(), np.float64)
-            asks = np.array(left.column("vector").to_pylist(), np.float64)
-            names = left.column("query_id").to_numpy()
-            most = min(k + 1, len(data))
-            for a in range(0, len(asks), 1024):
-                near = asks[a : a + 1024] @ data.T
-                # Entries that tie with the last one stay in, also if rounding tells them apart.
-                last = np.partition(near, -most, axis=1)[:, -most]
-                q, e = np.nonzero(near >= (last - 1e-9 * np.abs(last))[:, None])
-                exact = (asks[a + q] * data[e]).sum(axis=1)
-                q, exact = np.repeat(q, sizes[e]), np.repeat(exact, sizes[e])
-                at = np.repeat(starts[e] - np.cumsum(sizes[e]) + sizes[e], sizes[e]) + np.arange(len(q))
-                queries.append(names[a + q])
-                ids.append(members[at])
-                scores.append(exact)
-        join = lambda parts, kind: pa.array(np.concatenate(parts) if parts else [], kind)
-        return pa.table({"query_id": join(queries, pa.int64()), "vec_id": join(ids, pa.int64()),
-                         "score": join(scores, pa.float64())})
-
-    found = (
-        questions.groupBy("tree", "leaf", "block")
-        .cogroup(index.groupBy("tree", "leaf", "block"))
-        .applyInArrow(meet, "query_id long, vec_id long, score double")
-        .where(F.col("vec_id") != F.col("query_id"))
-        .distinct()
+        return met_in_cell(left, right, dim, k)
+
+    def candidates(asking: DataFrame, n_trees: int, most: int) -> DataFrame:
+        """query_id, vec_id, score of what the opened leaves of ``n_trees`` trees hold (of ``most`` leaves), some
+        ``k`` for each query and cell."""
+        of = by_cell(n_trees)
+        n_cells = sum(-(-(len(t.limits) + 1) // c) for t, c in zip(forest, of))
+        # Queries of a cell in blocks of some thousands: cells and entries of a query set its mean number.
+        blocks = 1 + n_asked * min(most, n_cells) // (n_cells * 4096)
+        index = entries.mapInArrow(place(of), f"tree int, cell long, leaf long, vector {kind}, ids array<long>")
+        index = index.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(int(blocks) - 1))))
+        questions = asking.mapInArrow(
+            ask(of, most), f"tree int, cell long, leaves array<long>, query_id long, vector {kind}, least double"
+        ).withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(int(blocks))).cast("int"))
+        return (
+            questions.groupBy("tree", "cell", "block")
+            .cogroup(index.groupBy("tree", "cell", "block"))
+            .applyInArrow(meet, "query_id long, vec_id long, score double")
+            .where(F.col("vec_id") != F.col("query_id"))
+            .distinct()
+        )
+
+    # Some of the leaves that are opened in one tree tell how near a query's k-th nearest is at least. Of all other leaves only what
+    # is not farther counts, so the rows that leave them do not grow with the number of leaves.
+    none = float("-inf")
+    first = candidates(asked.withColumn("least", F.lit(none)), 1, FIRST_LEAVES)
+    bound = staged(
+        first.groupBy("query_id")
+        .agg(F.slice(F.array_sort(F.collect_list(-F.col("score"))), 1, k).alias("s"))
+        .where(F.size("s") == k)
+        .select("query_id", (-F.element_at("s", -1)).alias("least")),
+        "least-scores",
     )
+    asking = asked.join(bound, "query_id", "left").select("query_id", "vector", F.coalesce("least", F.lit(none)).alias("least"))
+    found = candidates(asking, trees, leaves)
     best = (
         found.groupBy("query_id")
         .agg(F.slice(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("s"), "vec_id"))), 1, k).alias("b"))
