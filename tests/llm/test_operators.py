@@ -2,6 +2,7 @@ import hashlib
 import itertools
 import random
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -388,6 +389,26 @@ def test_nearest_equals_brute_force_where_all_leaves_open(spark):
     assert len(got) == 15 * 20
 
 
+def test_a_stored_shard_keeps_texts_and_holds_few_words_as_objects():
+    rng = random.Random(4)
+    texts = ["", "a a b", None, *(" ".join(f"w{rng.random():.9f}" for _ in range(20)) for _ in range(6_000))]
+    texts[2] = texts[-1]
+    ids = [*range(len(texts))]
+    rng.shuffle(ids)
+    table = pa.table({"shard": pa.array([5] * len(ids), pa.int32()), "doc_id": pa.array(ids, pa.int64()),
+                      "text": texts, "toxic": pa.array([i % 2 for i in ids], pa.int32())})
+    tracemalloc.start()
+    row = toxicity.shard_words(table).to_pylist()[0]
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    ends = np.concatenate([[0], np.cumsum(np.frombuffer(row["sizes"], np.int64))])
+    stored = toxicity.Texts(np.frombuffer(row["rows"], np.int32).reshape(-1, 5), np.frombuffer(row["places"], np.int32), ends)
+    in_order = [t.encode() for _, t in sorted(zip(ids, texts))]
+    assert row["shard"] == 5 and np.frombuffer(row["truth"], np.float32).tolist() == [i % 2 for i in range(len(ids))]
+    assert all((a == b).all() and a.shape == b.shape for a, b in zip(map(stored.__getitem__, range(len(ids))), toxicity.rows_of(in_order)))
+    assert most < 40_000_000, most  # 58 MB when all words of a shard were objects at once
+
+
 def test_a_cell_gives_a_query_its_best_however_many_leaves_it_opens():
     rng = np.random.default_rng(9)
     data, asks, names = rng.normal(size=(600, 8)), rng.normal(size=(30, 8)), np.arange(0, 300, 10)

@@ -11,9 +11,11 @@ from __future__ import annotations
 
 import zlib
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -40,6 +42,8 @@ PREFIXES = (4, 5, 6, 7)
 EDGE = b".,;:!?\"'()[]{}<>*#$%&|/\\-_"
 CACHE_WORDS = 200_000
 BATCH = 32
+# Texts whose words are told apart together when a shard is stored.
+WORDS_OF = 2_000
 
 
 def word_rows(word: bytes) -> list[int]:
@@ -62,7 +66,10 @@ def words_at(texts: list[bytes]) -> tuple[list[np.ndarray], np.ndarray]:
             place.setdefault(w, len(place))
         at = np.fromiter(map(place.__getitem__, words), np.int32, len(words))
         index.append(np.pad(at, (0, max(0, max(WIDTHS) - len(at))), constant_values=-1))
-    return index, np.array([*map(word_rows, place), [TABLE - 1] * (1 + len(PREFIXES))], np.int32)
+    n = 1 + len(PREFIXES)
+    rows = np.full((len(place) + 1, n), TABLE - 1, np.int32)
+    rows[:-1] = np.fromiter(chain.from_iterable(map(word_rows, place)), np.int32, len(place) * n).reshape(-1, n)
+    return index, rows
 
 
 def rows_of(texts: list[bytes]) -> list[np.ndarray]:
@@ -366,18 +373,31 @@ SHARD = pa.schema([("shard", pa.int32()), *((n, pa.binary()) for n in ("truth",
 
 def shard_words(table):
     """A shard's texts as one row: labels, numbers of words, the places of the words among the distinct
-    ones, and the table rows of these."""
-    texts = table.column("text").cast(pa.binary()).to_pylist()
-    rows = sorted(zip(table.column("doc_id").to_pylist(), texts, table.column("toxic").to_pylist()))
-    index, words = words_at([t for _, t, _ in rows])
+    ones, and the table rows of these. Words are distinct among ``WORDS_OF`` texts, so that no task holds
+    those of a whole shard as objects."""
+    order = pc.sort_indices(table, [(c, "ascending") for c in ("doc_id", "text", "toxic")])
+    sizes, places, words, n = [], [], [], 0
+    for a in range(0, len(order), WORDS_OF):
+        texts = table.column("text").take(order[a : a + WORDS_OF]).cast(pa.binary()).to_pylist()
+        index, rows = words_at(texts)
+        sizes += map(len, index)
+        # The last row is that of no word, which padding names.
+        places.append(np.concatenate(index) % len(rows) + n)
+        words.append(rows)
+        n += len(rows)
     packed = {
-        "truth": np.array([y for _, _, y in rows], np.float32),
-        "sizes": np.array([len(at) for at in index], np.int64),
-        "places": np.concatenate(index).astype(np.int32),
-        "rows": words,
+        "truth": table.column("toxic").take(order).to_numpy().astype(np.float32),
+        "sizes": np.array(sizes, np.int64),
+        "places": np.concatenate(places).astype(np.int32),
+        "rows": np.concatenate(words),
     }
-    shard = table.column("shard")[0].as_py()
-    return pa.Table.from_pylist([{"shard": shard, **{k: v.tobytes() for k, v in packed.items()}}], SHARD)
+    return pa.Table.from_arrays([table.column("shard")[:1].cast(pa.int32()).combine_chunks(), *map(one_value, packed.values())], schema=SHARD)
+
+
+def one_value(x: np.ndarray) -> pa.Array:
+    """The bytes of an array as a column of one row, without a copy."""
+    ends = np.array([0, x.nbytes], np.int32)
+    return pa.Array.from_buffers(pa.binary(), 1, [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(x))])
 
 
 def each_shard(work):
