@@ -346,6 +346,53 @@ def test_blocks_link_all_that_share_a_passage():
     assert passages.fewest_kinds(places[0], 46) == min(len({*places[0][k:k + 46]}) for k in range(len(places[0]) - 45))
 
 
+def islands(stretches):
+    """Overlapping stretches (row, first, last, row, first, last) as one, with the first that they are linked to."""
+    root = {}
+    for x in sorted({s[k:k + 3] for s in stretches for k in (0, 3)}):
+        last = next(reversed(root), None)
+        if last and last[0] == x[0] and x[1] <= last[2]:
+            root.pop(last)
+            x = (x[0], last[1], max(last[2], x[2]))
+        root[x] = x
+    of = lambda x: next(y for y in root if y[0] == x[0] and y[1] <= x[1] <= y[2])
+    for s in stretches:
+        a, b = sorted((root[of(s[:3])], root[of(s[3:])]))
+        root = {x: a if r == b else r for x, r in root.items()}
+    return root
+
+
+def test_near_copies_are_compared_at_once_like_pair_by_pair(monkeypatch):
+    rng = np.random.default_rng(16)
+    fresh = lambda n: rng.integers(1, 2**62, n).astype(np.uint64)
+    first, places = fresh(400), []
+    for k in range(24):  # copies of one text or of its second half, some of them with words put in or left out
+        words = first.copy() if k % 3 else np.concatenate([fresh(150), first[200:]])
+        at = rng.integers(0, len(words), 12)
+        words[at] = fresh(12)
+        words = np.delete(words, at[:2]) if k % 4 == 0 else np.insert(words, at[2], fresh(3))
+        places.append(passages.shingle_hashes(words, 5))
+    repetitive = np.repeat(fresh(4), 90)
+    places += [passages.shingle_hashes(np.concatenate([fresh(30), np.roll(repetitive, 90 * k), fresh(20)]), 5) for k in range(4)]
+    want = [(i, a0, a1, j, b0, b1) for i, j in itertools.combinations(range(28), 2)
+            for a0, a1, b0, b1 in passages.common_passages(places[i], places[j], 46, 80)]
+    single, calls = passages.common_passages, []
+    monkeypatch.setattr(passages, "common_passages", lambda *a: calls.append(1) or single(*a))
+    monkeypatch.setattr(passages, "MOST_AT_ONCE", 3000)
+    got = passages.block_passages(np.arange(28), np.zeros(28), places, 46, 80)
+    assert islands(got) == islands(want)
+    assert len(calls) <= 6  # of 378 pairs: the repetitive ones only
+
+
+def test_a_repeated_word_makes_each_key_once():
+    the, other = np.full(300, 7, np.uint64), np.random.default_rng(17).integers(1, 2**62, 100).astype(np.uint64)
+    made = passages.Places([the, np.concatenate([other, the]), the[:200]], 46, passages.HASHES)
+    assert len({*zip(made.keys.tolist(), made.doc.tolist())}) == len(made.keys) < 1000
+    around = [dict(zip(made.keys[made.doc == k].tolist(), made.around[made.doc == k].tolist())) for k in range(3)]
+    assert around[0] and around[0] == around[2]  # all that stands around a place in one does so in the other
+    assert {*around[0]} <= {*around[1]} and all(around[1][key] != x for key, x in around[0].items())
+
+
 def test_keys_are_shared_at_the_limit():
     rng, met = np.random.default_rng(14), 0
     for _ in range(400):
