@@ -1,6 +1,7 @@
 from conftest import ORDER, PO, RECEIPT, RETURN, SNAPSHOT, ITEM, CHARGE, COST, FX, SETTLEMENT
 from conftest import day, rows, shipment
-from tideledger.plans import boards, constraint, coverage, reco, scm
+from tideledger.plans import boards, constraint, coverage, reco, registry, scm
+from tideledger.plans.marts import Marts
 
 TODAY = day("2024-06-01")
 
@@ -157,6 +158,23 @@ def test_delay_signals_read_one_table_of_sums(spark):
         constraint.dwell_time(lines, got), *columns)
 
 
+def test_effect_of_signals_reads_them_stored(spark, monkeypatch):
+    names = constraint.SIGNAL_COLUMNS
+    signals = spark.createDataFrame([
+        ("S1", "supply", "late_po_ratio", 0.5, 0.2, "CRITICAL", "supplier", "1", "1997-01"),
+        ("S2", "supply", "late_po_ratio", 0.25, 0.2, "HIGH", "supplier", "2", "1997-01"),
+        ("S3", "finance", "expired_value_at_risk", 3.0, 0.0, "CRITICAL", "item", "7|1", "1998-06-01"),
+    ], ", ".join(f"{n} {'double' if n.endswith('value') else 'string'}" for n in names))
+    for query, want in {"q19_resolved_share": [(1, 1)]}.items():
+        kept = []
+        mine = Marts(None, TODAY, keep=lambda df, name: kept.append(name) or df)
+        mine.mart_constraint_signals = signals
+        monkeypatch.setattr(registry, "marts", lambda *_: mine)
+        shown = ["signal_id", "before_value", "after_value", "delta", "resolved"] if query[0] == "c" else ["resolved", "signals"]
+        assert rows(registry.queries()[query](spark, "x"), *shown) == want
+        assert kept == ["constraint-signals"]
+
+
 def test_movement_groups_only_days_that_follow_a_snapshot(spark):
     days = ["2024-01-01", "2024-01-02", "2024-01-04", None]
     snap = spark.createDataFrame(

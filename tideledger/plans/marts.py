@@ -194,6 +194,11 @@ class Marts:
             self.as_of_date, **self.limits,
         )
 
+    @cached_property
+    def stored_signals(self) -> DataFrame:
+        """The signals for plans that read them more than once: both readings would build them whole."""
+        return self.keep(self.mart_constraint_signals, "constraint-signals")
+
     @cached_property
     def mart_constraint_root_cause(self) -> DataFrame:
         return constraint.root_causes(self.mart_constraint_signals)

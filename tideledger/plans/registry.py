@@ -205,7 +205,7 @@ def resolved_bases(m: Marts) -> DataFrame:
 def resolved_issues(m: Marts) -> DataFrame:
     """Critical signals as an issue log in which the supply issues are resolved."""
     resolved = F.when(F.col("domain") == "supply", F.lit("2001-12-31").cast("timestamp"))
-    return constraint.signal_issues(m.mart_constraint_signals).withColumn("resolved_at", resolved)
+    return constraint.signal_issues(m.stored_signals).withColumn("resolved_at", resolved)
 
 
 def order_cost(m: Marts) -> DataFrame:
@@ -350,7 +350,7 @@ BOARD_QUERIES: dict[str, Query] = {
         lambda m: boards.service_level_series(m.mart_service_level)),
     "q19_signal_counts": _query(lambda m: boards.signal_counts(m.mart_constraint_signals)),
     "q19_resolved_share": _query(lambda m: boards.resolved_share(constraint.effectiveness(
-        resolved_issues(m), m.mart_constraint_signals))),
+        resolved_issues(m), m.stored_signals))),
     "q20_reco_summary": _query(lambda m: boards.reco_summary(
         m.mart_reco_inventory_movement, m.mart_reco_oms_vs_wms,
         m.mart_reco_erp_gr_vs_wms_receipt, m.mart_reco_settlement_vs_estimated,
