@@ -165,7 +165,7 @@ def test_effect_of_signals_reads_them_stored(spark, monkeypatch):
         ("S2", "supply", "late_po_ratio", 0.25, 0.2, "HIGH", "supplier", "2", "1997-01"),
         ("S3", "finance", "expired_value_at_risk", 3.0, 0.0, "CRITICAL", "item", "7|1", "1998-06-01"),
     ], ", ".join(f"{n} {'double' if n.endswith('value') else 'string'}" for n in names))
-    for query, want in {"q19_resolved_share": [(1, 1)]}.items():
+    for query, want in {"c10_effectiveness": [("S1", 0.5, 0.0, -0.5, True)], "q19_resolved_share": [(1, 1)]}.items():
         kept = []
         mine = Marts(None, TODAY, keep=lambda df, name: kept.append(name) or df)
         mine.mart_constraint_signals = signals

@@ -272,7 +272,7 @@ OPERATOR_QUERIES: dict[str, Query] = {
         m.facts.returns, m.facts.shipment, LIMITS["return_rate"])),
     "c6_expired_stock": _query(lambda m: constraint.expired_stock(m.lot_state)),
     "c10_effectiveness": _query(lambda m: constraint.effectiveness(
-        resolved_issues(m), m.mart_constraint_signals)),
+        resolved_issues(m), m.stored_signals)),
     "v1_domain_rows": _query(lambda m: m.domain_rows),
     "v3_closed_period_gaps": _query(
         lambda m: coverage.closed_period_gaps(m.closed, m.domain_rows)),
