@@ -207,6 +207,15 @@ def test_row_counts_leave_out_views_of_the_session(box, spark):
     assert "core.fact_order" in names and not any("counted_view" in n for n in names)
 
 
+def test_refresh_leaves_out_views_of_the_session(box, spark):
+    wh, _ = box
+    spark.range(1).createOrReplaceTempView("refreshed_view")
+    try:
+        wh.refresh()
+    finally:
+        spark.catalog.dropTempView("refreshed_view")
+
+
 def test_period_close(box):
     wh, inbox = box
     assert not ops.is_period_closed(wh, "2024-01")

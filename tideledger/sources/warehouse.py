@@ -74,7 +74,8 @@ class Warehouse:
         """Forget which files tables had, after another session wrote to them."""
         for layer in LAYERS:
             for t in self.spark.catalog.listTables(f"{self.prefix}{layer}"):
-                self.spark.catalog.refreshTable(f"{self.prefix}{layer}.{t.name}")
+                if not t.isTemporary:
+                    self.spark.catalog.refreshTable(f"{self.prefix}{layer}.{t.name}")
 
     def claim(self, kind: str, at_least: int) -> int:
         """The smallest number from ``at_least`` on that nobody has claimed for ``kind``. A claim is an
